@@ -1,0 +1 @@
+"""Empty on purpose: every data flow in this library is batch, so there is nothing to stream."""
