@@ -28,12 +28,13 @@ def is_blank(c: Column | str) -> Column:
 def to_int(c: Column | str) -> Column:
     """Text to int with the fraction cut off (``"5.9"`` is 5); exponents and junk are NULL.
 
-    ``try_cast`` alone refuses a fraction and a detour over double accepts exponents, so the
-    fraction is removed from the text first. ``$10`` is group 1 followed by a zero, which keeps
-    ``".5"`` (0) valid.
+    ``try_cast`` alone refuses a fraction and a detour over double accepts exponents, so a fraction
+    is removed from the text first. ``$10`` is group 1 followed by a zero, which keeps ``".5"`` (0)
+    valid. Text without a point skips the regex.
     """
-    plain = F.regexp_replace(F.trim(as_column(c)), r"^([+-]?)(\d*)\.\d*$", "$10$2")
-    return plain.try_cast("int")
+    text = F.trim(as_column(c))
+    whole = F.regexp_replace(text, r"^([+-]?)(\d*)\.\d*$", "$10$2")
+    return F.when(F.contains(text, F.lit(".")), whole).otherwise(text).try_cast("int")
 
 
 def to_double(c: Column | str) -> Column:

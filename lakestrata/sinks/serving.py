@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.contracts import SERVING_TABLES, ServingTable
 from ..operators.quality import repeated_keys
+from .tables import stage
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -167,11 +168,12 @@ def publish(
     """Publish a mart so that doing it twice leaves the same rows; returns the number of rows.
 
     An empty mart changes nothing. A mart that breaks the table's constraints is refused before
-    anything is written.
+    anything is written. The rows are stored once first: the check, the write and any retried task
+    then see the same values, also for clock columns.
     """
     spark = df.sparkSession
     run = run or database.run
-    rows = serving_rows(df, table)
+    rows = stage(serving_rows(df, table), "serving")
     broken = constraint_faults(rows, table).where("violations > 0").collect()
     if broken:
         raise ValueError(f"{table}: " + "; ".join(f"{r.constraint}: {r.violations} violations" for r in broken))

@@ -142,15 +142,14 @@ def merge_into_path(
     if not partition_by:
         return overwrite(merge_rows(target, source, keys, newer_than), path, (), fmt)
 
-    # One row per partition folder, a list the driver keeps for every scan of the table anyway.
+    # One row per partition folder, a list the driver keeps for every scan of the table anyway. Only keys
+    # and partition columns are read, and the semi join lets Spark drop other keys before the shuffle.
     parts = list(partition_by)
-    matches = target.select(*keys, *parts, F.col("_metadata.file_path").alias("_file")).join(
-        source.select(*keys, F.lit(1).alias("_match")), list(keys), "left"
-    )
     hit = (
-        matches.groupBy(*parts)
-        .agg(F.count(F.lit(1)).alias("n"), F.count("_match").alias("matched"), F.min("_file").alias("file"))
-        .where("matched > 0")
+        target.select(*keys, *parts, F.col("_metadata.file_path").alias("_file"))
+        .join(source.select(*keys), list(keys), "left_semi")
+        .groupBy(*parts)
+        .agg(F.count(F.lit(1)).alias("matched"), F.min("_file").alias("file"))
         .collect()
     )
     added = {tuple(r) for r in source.select(*parts).distinct().collect()}
@@ -160,10 +159,11 @@ def merge_into_path(
     before = target.where(reduce(or_, [_partition_is(parts, values) for values in touched]))
     merged = merge_rows(before, source, keys, newer_than)
     if newer_than is None:
-        emptied = [r.file for r in hit if r.n == r.matched and tuple(r[c] for c in parts) not in added]
+        sizes = {tuple(r[c] for c in parts): r["n"] for r in _partition_sizes(before, parts)}
+        filled = added | {tuple(r[c] for c in parts) for r in hit if r.matched < sizes[tuple(r[c] for c in parts)]}
     else:
         filled = {tuple(r) for r in merged.select(*parts).distinct().collect()}
-        emptied = [r.file for r in hit if tuple(r[c] for c in parts) not in filled]
+    emptied = [r.file for r in hit if tuple(r[c] for c in parts) not in filled]
     rows = _write(
         sized(merged, parts),
         path,
@@ -176,6 +176,11 @@ def merge_into_path(
     return rows
 
 
+def _partition_sizes(df: DataFrame, parts: Sequence[str]) -> list:
+    """Rows per partition, from file footers (partition columns are not stored in the files)."""
+    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
 def _remove_folders(spark: SparkSession, files: Sequence[str]) -> None:
     """Delete the partition folders that hold the given files (URIs as Spark reports them)."""
     for file in files:
@@ -240,5 +245,10 @@ def write_clustered(
     partitions: int | None = None,
     fmt: str = "parquet",
 ) -> int:
-    """Replace the table with its rows clustered by ``columns`` (see ``operators.layout.clustered``)."""
+    """Replace the table with its rows clustered by ``columns`` (see ``operators.layout.clustered``).
+
+    Finding the quantiles, sampling the ranges and writing each read the rows, so they are stored once
+    first instead of being computed three times.
+    """
+    df = stage(df, "unclustered")
     return overwrite(clustered(df, columns, partition_by, partitions), path, partition_by, fmt, arranged=True)

@@ -43,8 +43,8 @@ def _text(value: object) -> str:
     return str(value)
 
 
-def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
-    """Differences between a Spark result and its oracle; empty when equal."""
+def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str] | int:
+    """Differences between a Spark result and its oracle, the result's row count when there are none."""
     ours, theirs = df.toArrow().to_pandas(), con.sql(sql).to_arrow_table().to_pandas()
     if sorted(ours.columns) != sorted(theirs.columns):
         return [f"columns {sorted(ours.columns)} and {sorted(theirs.columns)}"]
@@ -52,7 +52,7 @@ def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str
         return [f"{len(ours)} and {len(theirs)} rows"]
     a, b = _normal(ours), _normal(theirs)
     unequal = a.ne(b).any(axis=1)
-    return [f"{a[unequal].head(3).to_dict('records')} and {b[unequal].head(3).to_dict('records')}"] if unequal.any() else []
+    return [f"{a[unequal].head(3).to_dict('records')} and {b[unequal].head(3).to_dict('records')}"] if unequal.any() else len(ours)
 
 
 def types(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> dict[str, tuple[str, str]]:
@@ -83,9 +83,9 @@ def main() -> None:
             if name not in ORACLES:
                 result = f"rows only: {df.count()}"
             else:
-                result = compare(df, con, ORACLES[name]) or "equal"
-                mixed = types(df, con, ORACLES[name])
-                result = f"{result} {mixed or ''}"
+                result = compare(df, con, ORACLES[name])
+                result = f"equal, {result} rows" if isinstance(result, int) else f"DIFFERENT {result}"
+                result += f" TYPES {mixed}" if (mixed := types(df, con, ORACLES[name])) else ""
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
             result = f"ERROR {type(error).__name__}: {str(error)[:1500]}"
         print(f"{name:28s} {time.monotonic() - start:6.1f}s  {result}", flush=True)

@@ -72,7 +72,7 @@ SALES_RAW = """
 SELECT
   CASE WHEN event_id % 97 = 0 THEN NULL
        ELSE 'ORD-' || CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING) END AS order_id,
-  'CUST-' || CAST(user_id AS STRING) AS customer_id,
+  CASE WHEN event_id % 53 = 0 THEN NULL ELSE 'CUST-' || CAST(user_id AS STRING) || '-' || event_type END AS customer_id,
   CASE WHEN event_id % 61 = 0 THEN 'free' ELSE CAST(CAST(value AS DECIMAL(12, 2)) AS STRING) END AS amount,
   CASE WHEN event_type IN ('purchase', 'click', 'view') THEN ' COMPLETED' ELSE 'Cancelled ' END AS status,
   CASE WHEN event_id % 83 = 0 THEN 'soon' ELSE CAST(ts AS STRING) END AS order_date,

@@ -26,6 +26,7 @@ from lakestrata.sinks.tables import (
     merge_into_path,
     overwrite,
     read_evolving,
+    stage,
     write_clustered,
 )
 from lakestrata.sources.manifest import compare_manifests, file_manifest, table_metrics
@@ -424,8 +425,9 @@ def chart_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count, distinct keys and sum over the cleaned orders and their mart."""
-    silver = views.totals(silver_orders(spark, sf_dir), distinct={"distinct_orders": "order_id"})
-    mart = views.totals(orders_mart(spark, sf_dir), sums={"mart_orders": "total_orders"})
+    stored = stage(silver_orders(spark, sf_dir), "silver")
+    silver = views.totals(stored, distinct={"distinct_orders": "order_id"})
+    mart = views.totals(marts.daily_orders(stored), sums={"mart_orders": "total_orders"})
     return silver.select(F.lit("silver").alias("layer"), "row_count", F.col("distinct_orders").alias("total")).unionByName(
         mart.select(F.lit("gold").alias("layer"), "row_count", F.col("mart_orders").alias("total"))
     )
@@ -437,7 +439,7 @@ def global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types, required values, uniqueness and presence of the cleaned orders."""
-    silver = silver_orders(spark, sf_dir)
+    silver = stage(silver_orders(spark, sf_dir), "silver")
     required = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
     return (
         quality.schema_check(silver, "orders", contracts.SILVER_ORDERS)
@@ -450,7 +452,7 @@ def silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types, key values and value ranges of the daily orders mart."""
-    mart = orders_mart(spark, sf_dir)
+    mart = stage(orders_mart(spark, sf_dir), "mart")
     rules = {"total_orders > 0": F.col("total_orders") > 0, "avg_delivery_days >= 0": F.col("avg_delivery_days") >= 0}
     return (
         quality.schema_check(mart, "gold_daily_orders_summary", contracts.DAILY_ORDERS)
@@ -463,7 +465,7 @@ def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same checks where they find faults: the raw lines table and the raw trips."""
     items = table(spark, sf_dir, "lineitem")
-    typed = typed_trips(spark, sf_dir)
+    typed = stage(typed_trips(spark, sf_dir), "typed-trips")
     rules = {"fare_amount >= 0": F.col("fare_amount") >= 0, "trip_distance > 10": F.col("trip_distance") > 10}
     return (
         quality.unique_check(items, "lineitem", ["l_orderkey", "l_linenumber"])
@@ -481,7 +483,7 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned orders against the mart total, with the orders that have no day."""
-    silver = silver_orders(spark, sf_dir)
+    silver = stage(silver_orders(spark, sf_dir), "silver")
     return quality.reconcile(silver, marts.daily_orders(silver), "total_orders", "order_purchase_timestamp")
 
 
@@ -550,7 +552,7 @@ def serving_rows_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def serving_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constraint check before publishing; trips with an unreadable payment type break the key."""
-    rows = serving.serving_rows(zones_mart(spark, sf_dir), "gold_daily_zone_metrics")
+    rows = stage(serving.serving_rows(zones_mart(spark, sf_dir), "gold_daily_zone_metrics"), "serving")
     return serving.constraint_faults(rows, "gold_daily_zone_metrics")
 
 
