@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.audit import with_ingest_audit
 from ..operators import marts
 from ..operators.split import split_invalid
-from ..runtime import size_shuffles, use_utc
+from ..runtime import prepare, size_shuffles
 from ..sinks.serving import Database, publish
 from ..sinks.tables import append_evolving, append_quarantine, merge_into_path, overwrite, read_evolving, write_clustered
 from ..sources.raw import read_csv_permissive, read_json_documents
@@ -112,7 +112,7 @@ def bronze_to_silver(
         raise ValueError(f"unsupported dataset and table: {dataset}, {table}")
     plan = RAW_SETS[dataset, table]
     source_path = source_path or lake.path("bronze", plan.raw)
-    use_utc(spark)
+    prepare(spark)
     size_shuffles(spark, [source_path])
     raw = read_csv_permissive(spark, source_path, plan.schema)
     valid, bad = split_invalid(raw, plan.key, required)
@@ -127,7 +127,7 @@ def bronze_to_silver(
 
 def silver_to_gold(spark: SparkSession, lake: Lake, dataset: str = "ecommerce") -> dict[str, int]:
     """Rebuild the marts of a data set (or ``all``), clustered; returns rows per mart."""
-    use_utc(spark)
+    prepare(spark)
     wanted = datasets(dataset)
     written = {}
     for name, mart in MARTS.items():
@@ -149,7 +149,7 @@ def ingest_json(
     multi_line: bool = True,
 ) -> int:
     """Raw JSON documents to a bronze table with audit columns; ``append`` lets columns evolve."""
-    use_utc(spark)
+    prepare(spark)
     rows = with_ingest_audit(read_json_documents(spark, source_path, multi_line=multi_line), batch_id)
     path = lake.path("bronze", table)
     if mode == "append":
@@ -161,7 +161,7 @@ def ingest_json(
 
 def sales_to_silver(spark: SparkSession, lake: Lake, bronze: str = "raw_orders", silver: str = "cleaned_orders") -> int:
     """Clean the bronze sales orders and merge them into the unpartitioned silver table."""
-    use_utc(spark)
+    prepare(spark)
     source = lake.path("bronze", bronze)
     require_table(spark, source, lake.fmt)
     size_shuffles(spark, [source])
@@ -174,7 +174,7 @@ def sales_to_gold(
 ) -> dict[str, object]:
     """Daily sales and customer marts; with a database they are published from the stored marts, and a
     failed publish is reported while the marts stay."""
-    use_utc(spark)
+    prepare(spark)
     table = require_table(spark, lake.path("silver", silver), lake.fmt)
     done: dict[str, object] = {}
     for name, build in SALES_MARTS.items():

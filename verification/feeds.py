@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.plans import orders, trips
-from lakestrata.runtime import scratch_path, size_shuffles, use_utc
+from lakestrata.runtime import input_bytes, prepare, scratch_path, size_shuffles, spread
 
 # Every order delivered in a first file, and every order again in a second one with a purchase time an
 # hour earlier, equal or an hour later.
@@ -38,32 +38,29 @@ FROM (
 ) delivered
 """
 
-_MONEY = "CAST(l_extendedprice AS DECIMAL(12, 2))"
-_TIP = f"{_MONEY} * CAST(l_discount AS DECIMAL(4, 2))"
-
-TRIPS_RAW = f"""
+TRIPS_RAW = """
 SELECT
   CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST(1 + l_suppkey % 2 AS STRING) END AS VendorID,
   CASE WHEN l_partkey % 83 = 0 THEN 'n/a' ELSE CAST(l_shipdate AS STRING) END AS tpep_pickup_datetime,
   CAST(l_shipdate + (5 + l_linenumber) * INTERVAL 1 MINUTE AS STRING) AS tpep_dropoff_datetime,
   CAST(l_linenumber AS STRING) || '.0' AS passenger_count,
-  CASE WHEN l_partkey % 61 = 0 THEN 'unknown' ELSE CAST(CAST(l_quantity AS DECIMAL(8, 2)) AS STRING) END AS trip_distance,
+  CASE WHEN l_partkey % 61 = 0 THEN 'unknown' ELSE CAST(l_quantity AS STRING) END AS trip_distance,
   '1.9' AS RatecodeID,
   ' ' || l_returnflag || ' ' AS store_and_fwd_flag,
   CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE CAST(1 + l_partkey % 263 AS STRING) END AS PULocationID,
   CAST(1 + l_suppkey % 263 AS STRING) AS DOLocationID,
   CASE WHEN l_orderkey % 47 = 0 THEN 'x' ELSE CAST(1 + l_linenumber % 3 AS STRING) END AS payment_type,
-  CASE WHEN l_partkey % 43 = 0 THEN '-' ELSE '' END || CAST({_MONEY} AS STRING) AS fare_amount,
+  CASE WHEN l_partkey % 43 = 0 THEN '-' ELSE '' END || CAST(l_extendedprice AS STRING) AS fare_amount,
   '0.5' AS extra,
   '0.5' AS mta_tax,
-  CAST({_TIP} AS STRING) AS tip_amount,
+  CAST(l_extendedprice * l_discount AS STRING) AS tip_amount,
   CASE WHEN l_linestatus = 'O' THEN '5.54' ELSE '' END AS tolls_amount,
   '1' AS improvement_surcharge,
-  CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST({_MONEY} + {_TIP} AS STRING) END AS total_amount,
+  CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CAST(l_extendedprice + l_extendedprice * l_discount AS STRING) END AS total_amount,
   '2.5' AS congestion_surcharge,
   CASE WHEN l_orderkey % 101 = 0 THEN 'short line' END AS _corrupt_record,
   'trips.csv' AS _source_file
-FROM {{lineitem}}
+FROM {lineitem}
 """
 
 # Every event as a sales order: an order id groups the events of a user and day, so ids repeat and the
@@ -86,9 +83,9 @@ _TABLES = {"orders": ORDERS_RAW, "lineitem": TRIPS_RAW, "events": SALES_RAW}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; shuffles are sized for it first."""
     path = f"{sf_dir}/{name}.parquet"
-    use_utc(spark)
+    prepare(spark)
     size_shuffles(spark, [path])
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path), input_bytes(spark, [path]))
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
