@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,33 +33,38 @@ def _position(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def _bucket(x: Column, cuts: Sequence[float], base: int = 0) -> Column:
-    """Number of cuts not above ``x`` as a balanced tree of comparisons."""
+def _spread(bucket: int, place: int, columns: int) -> int:
+    """The bits of a bucket number moved apart, so that those of the other columns fit between them."""
+    return sum(((bucket >> bit) & 1) << (bit * columns + place) for bit in range(bucket.bit_length()))
+
+
+def _bucket(x: Column, cuts: Sequence[float], leaf: Callable[[int], int], base: int = 0) -> Column:
+    """``leaf(number of cuts not above x)`` as a balanced tree of comparisons."""
     if not cuts:
-        return F.lit(base)
+        return F.lit(leaf(base)).cast("long")
     middle = len(cuts) // 2
-    return F.when(x < F.lit(cuts[middle]), _bucket(x, cuts[:middle], base)).otherwise(
-        _bucket(x, cuts[middle + 1 :], base + middle + 1)
+    return F.when(x < F.lit(cuts[middle]), _bucket(x, cuts[:middle], leaf, base)).otherwise(
+        _bucket(x, cuts[middle + 1 :], leaf, base + middle + 1)
     )
 
 
-def z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Z-order key: the interleaved bits of each column's range bucket.
+def with_z_key(df: DataFrame, columns: Sequence[str], name: str = "_cluster", bits: int = 6) -> DataFrame:
+    """Add the Z-order key: the interleaved bits of each column's range bucket.
 
     Bucket limits are quantiles of the columns (one aggregation; at most ``2**bits - 1`` numbers per
-    column come back), so skewed values still fill all buckets. NULL goes to bucket 0.
+    column come back), so skewed values still fill all buckets. NULL goes to bucket 0. Each step is a
+    column of its own, so that no position or bucket is computed twice.
     """
     at = [i / 2**bits for i in range(1, 2**bits)]
-    quantiles = df.agg(
-        *[F.percentile_approx(_position(df, c), at, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
-    key = F.lit(0).cast("long")
-    for i, c in enumerate(columns):
-        cuts = sorted(set(quantiles[i] or []))
-        bucket = F.when(F.col(c).isNull(), F.lit(0)).otherwise(_bucket(_position(df, c), cuts)).cast("long")
-        for bit in range(bits):
-            key = key.bitwiseOR(F.shiftleft(F.getbit(bucket, F.lit(bit)).cast("long"), bit * len(columns) + i))
-    return key
+    places = {f"_at{i}": c for i, c in enumerate(columns)}
+    placed = df.withColumns({p: _position(df, c) for p, c in places.items()})
+    quantiles = placed.agg(*[F.percentile_approx(p, at, 10_000).alias(p) for p in places]).first()
+    keys = {}
+    for i, p in enumerate(places):
+        tree = _bucket(F.col(p), sorted(set(quantiles[p] or [])), lambda b, i=i: _spread(b, i, len(columns)))
+        keys[f"_key{i}"] = F.when(F.col(p).isNull(), F.lit(0).cast("long")).otherwise(tree)
+    key = reduce(lambda a, b: a.bitwiseOR(b), [F.col(k) for k in keys])
+    return placed.withColumns(keys).withColumn(name, key).drop(*places, *keys)
 
 
 def clustered(
@@ -69,10 +75,9 @@ def clustered(
     One column is sorted by itself, several by their Z-order key. A hash of the row ends the range
     key, so rows with one hot value are still cut into several files.
     """
-    cluster = F.col(columns[0]) if len(columns) == 1 else z_key(df, columns)
+    keyed = df.withColumn("_cluster", F.col(columns[0])) if len(columns) == 1 else with_z_key(df, columns)
     order = [F.col(c) for c in partition_by]
     sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     spread = [*order, F.col("_cluster"), F.xxhash64(*sortable)]
-    keyed = df.withColumn("_cluster", cluster)
     ranged = keyed.repartitionByRange(partitions, *spread) if partitions else keyed.repartitionByRange(*spread)
     return ranged.sortWithinPartitions(*order, "_cluster", *columns).drop("_cluster")

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators.layout import clustered, sized, z_key
+from lakestrata.operators.layout import clustered, sized, with_z_key
 from lakestrata.sinks.tables import (
     append_evolving,
     append_quarantine,
@@ -169,9 +169,9 @@ def test_z_key_orders_all_types(spark):
         "i int, f double, s string, d date, t timestamp",
     )
     for c in ("i", "f", "s", "d"):
-        keys = [r.z for r in df.select(c, z_key(df, [c]).alias("z")).orderBy(F.asc_nulls_first(c)).collect()]
+        keys = [r.z for r in with_z_key(df, [c], "z").orderBy(F.asc_nulls_first(c)).collect()]
         assert keys == sorted(keys) and len(set(keys)) > 32 and keys[0] == 0
-    assert df.select(z_key(df, ["t", "i"]).alias("z")).distinct().count() > 32
+    assert with_z_key(df, ["t", "i"], "z").select("z").distinct().count() > 32
 
 
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
