@@ -19,6 +19,7 @@ from ..operators.split import split_invalid
 from ..runtime import prepare, size_shuffles
 from ..sinks.serving import Database, publish
 from ..sinks.tables import append_evolving, append_quarantine, merge_into_path, overwrite, read_evolving, write_clustered
+from ..sources.manifest import compare_manifests, file_manifest
 from ..sources.raw import read_csv_permissive, read_json_documents
 from ..sources.tables import Lake, require_table, table_exists
 from . import orders, sales, trips
@@ -95,6 +96,11 @@ def datasets(choice: str) -> list[str]:
     return [choice]
 
 
+def check_landing(spark: SparkSession, source_path: str, landed_path: str, glob: str = "*.csv") -> DataFrame:
+    """``file_name, status`` of a copied delivery: every file must have arrived unchanged."""
+    return compare_manifests(file_manifest(spark, source_path, glob), file_manifest(spark, landed_path, glob))
+
+
 def bronze_to_silver(
     spark: SparkSession,
     lake: Lake,
@@ -147,10 +153,12 @@ def ingest_json(
     mode: str = "append",
     batch_id: str | None = None,
     multi_line: bool = True,
+    schema: str | None = None,
 ) -> int:
     """Raw JSON documents to a bronze table with audit columns; ``append`` lets columns evolve."""
     prepare(spark)
-    rows = with_ingest_audit(read_json_documents(spark, source_path, multi_line=multi_line), batch_id)
+    size_shuffles(spark, [source_path])
+    rows = with_ingest_audit(read_json_documents(spark, source_path, schema, multi_line=multi_line), batch_id)
     path = lake.path("bronze", table)
     if mode == "append":
         return append_evolving(rows, path, lake.fmt)
@@ -165,8 +173,10 @@ def sales_to_silver(spark: SparkSession, lake: Lake, bronze: str = "raw_orders",
     source = lake.path("bronze", bronze)
     require_table(spark, source, lake.fmt)
     size_shuffles(spark, [source])
-    clean = sales.clean(read_evolving(spark, source, lake.fmt))
-    return merge_into_path(clean, lake.path("silver", silver), [sales.KEY], fmt=lake.fmt)
+    clean, path = sales.clean(read_evolving(spark, source, lake.fmt)), lake.path("silver", silver)
+    if table_exists(spark, path, lake.fmt):
+        return merge_into_path(clean, path, [sales.KEY], fmt=lake.fmt)
+    return overwrite(clean, path, fmt=lake.fmt)
 
 
 def sales_to_gold(

@@ -146,24 +146,25 @@ def merge_into_path(
     # and partition columns are read, and the semi join lets Spark drop other keys before the shuffle.
     parts = list(partition_by)
     hit = (
-        target.select(*keys, *parts, F.col("_metadata.file_path").alias("_file"))
+        target.select(*keys, *parts)
         .join(source.select(*keys), list(keys), "left_semi")
         .groupBy(*parts)
-        .agg(F.count(F.lit(1)).alias("matched"), F.min("_file").alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
+    matched = {tuple(r[c] for c in parts): r["n"] for r in hit}
     added = {tuple(r) for r in source.select(*parts).distinct().collect()}
-    touched = added | {tuple(r[c] for c in parts) for r in hit}
+    touched = added | set(matched)
     if not touched:
         return 0
     before = target.where(reduce(or_, [_partition_is(parts, values) for values in touched]))
     merged = merge_rows(before, source, keys, newer_than)
     if newer_than is None:
-        sizes = {tuple(r[c] for c in parts): r["n"] for r in _partition_sizes(before, parts)}
-        filled = added | {tuple(r[c] for c in parts) for r in hit if r.matched < sizes[tuple(r[c] for c in parts)]}
+        sizes = before.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).collect()
+        filled = added | {values for r in sizes if r["n"] > matched.get(values := tuple(r[c] for c in parts), 0)}
     else:
         filled = {tuple(r) for r in merged.select(*parts).distinct().collect()}
-    emptied = [r.file for r in hit if tuple(r[c] for c in parts) not in filled]
+    emptied = _folders(target, parts, set(matched) - filled)
     rows = _write(
         sized(merged, parts),
         path,
@@ -176,15 +177,18 @@ def merge_into_path(
     return rows
 
 
-def _partition_sizes(df: DataFrame, parts: Sequence[str]) -> list:
-    """Rows per partition, from file footers (partition columns are not stored in the files)."""
-    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).collect()
+def _folders(table: DataFrame, parts: Sequence[str], partitions: set[tuple]) -> list[str]:
+    """The folders of the given partitions, as URIs; no column is read."""
+    if not partitions:
+        return []
+    chosen = table.where(reduce(or_, [_partition_is(parts, values) for values in partitions]))
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
+    return [r[0] for r in chosen.select(folder).distinct().collect()]
 
 
-def _remove_folders(spark: SparkSession, files: Sequence[str]) -> None:
-    """Delete the partition folders that hold the given files (URIs as Spark reports them)."""
-    for file in files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).getParent()
+def _remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    for uri in folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

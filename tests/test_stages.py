@@ -92,3 +92,11 @@ def test_stage_errors(spark, tmp_path):
         stages.silver_to_gold(spark, lake, "weather")
     with pytest.raises(FileNotFoundError):
         stages.silver_to_gold(spark, lake)
+
+
+def test_check_landing(spark, tmp_path):
+    write(tmp_path / "in" / "a.csv", HEADER, [order("A")])
+    write(tmp_path / "out" / "a.csv", HEADER, [order("A")])
+    write(tmp_path / "out" / "b.csv", HEADER, [order("B")])
+    rows = {r.file_name: r.status for r in stages.check_landing(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    assert rows == {"a.csv": "ok", "b.csv": "unexpected"}

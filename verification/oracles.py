@@ -383,5 +383,15 @@ ORACLES: dict[str, str] = {
       '{_DRY_COLUMNS}' AS "columns", '{_DRY_STATEMENT}' AS statement FROM {DAILY_ORDERS} m""",
     "orders_csv_to_gold": f"SELECT * FROM {DAILY_ORDERS} m",
     "trips_csv_to_gold": f"SELECT * FROM {DAILY_ZONES} m",
+    "run_summary": f"""SELECT 'silver' AS stage, 'ecommerce quarantined' AS item, count(*) AS row_count, 'ok' AS status
+      FROM {raw_sql("orders")} r WHERE {BAD}
+      UNION ALL SELECT 'silver', 'ecommerce silver', count(*), 'ok' FROM {SILVER_ORDERS} s
+      UNION ALL SELECT 'silver', 'nyctaxi quarantined', count(*), 'ok' FROM {raw_sql("lineitem")} r
+        WHERE _corrupt_record IS NOT NULL OR VendorID IS NULL OR trim(VendorID) = ''
+      UNION ALL SELECT 'silver', 'nyctaxi silver', count(*), 'ok' FROM {DISTINCT_TRIPS} t
+      UNION ALL SELECT 'gold', 'gold_daily_orders_summary', count(*), 'ok' FROM {DAILY_ORDERS} m
+      UNION ALL SELECT 'gold', 'gold_daily_zone_metrics', count(*), 'ok' FROM {DAILY_ZONES} z
+      UNION ALL SELECT 'serving', 'gold_daily_orders_summary', NULL, 'skipped'
+      UNION ALL SELECT 'serving', 'gold_daily_zone_metrics', NULL, 'skipped'""",
     "sales_json_to_gold": f"SELECT * FROM {customer_value(_JSON_SALES)} c",
 }

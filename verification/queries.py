@@ -29,7 +29,7 @@ from lakestrata.sinks.tables import (
     stage,
     write_clustered,
 )
-from lakestrata.sources.manifest import compare_manifests, file_manifest, table_metrics
+from lakestrata.sources.manifest import file_manifest, table_metrics
 from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents
 from lakestrata.sources.tables import Lake, preview, read_table, since
 
@@ -155,9 +155,9 @@ def mart_preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def file_manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest of the landed files compared with itself through the two digest methods."""
+    """Landed files against a second look at them."""
     path = land_orders(spark, sf_dir)
-    status = compare_manifests(file_manifest(spark, path), file_manifest(spark, path)).groupBy("status")
+    status = stages.check_landing(spark, path, path).groupBy("status")
     return status.agg(F.count(F.lit(1)).alias("files"))
 
 
