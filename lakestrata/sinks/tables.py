@@ -9,16 +9,14 @@ table changes partition by partition when the job commits. Use a Delta or Iceber
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.layout import clustered, sized
-from ..operators.merge import key_faults, merge_rows
+from ..operators.merge import key_faults, merge_into_table, merge_rows
 from ..runtime import MB, hadoop_path, scratch_path
 from ..sources.tables import read_table, table_exists
 
@@ -109,8 +107,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _partition_is(columns: Sequence[str], values: Sequence[object]) -> Column:
-    return reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
+def _any(conditions: Sequence[Column]) -> Column:
+    """OR of the conditions as a balanced tree, so that thousands of partitions do not nest too deep."""
+    if len(conditions) == 1:
+        return conditions[0]
+    middle = len(conditions) // 2
+    return _any(conditions[:middle]) | _any(conditions[middle:])
+
+
+def in_partitions(columns: Sequence[str], partitions: Iterable[tuple]) -> Column:
+    """Partition filter for the given tuples of partition values (NULL included)."""
+    tails: dict[object, set[tuple]] = {}
+    for first, *rest in partitions:
+        tails.setdefault(first, set()).add(tuple(rest))
+    head, rest = F.col(columns[0]), columns[1:]
+    if rest:
+        return _any([head.eqNullSafe(F.lit(value)) & in_partitions(rest, below) for value, below in tails.items()])
+    values = head.isin([value for value in tails if value is not None])
+    return (values | head.isNull()) if None in tails else values
 
 
 def merge_into_path(
@@ -126,15 +140,21 @@ def merge_into_path(
     A partitioned table is rewritten only where it has to be: in the partitions the source adds to
     and those that hold a matching key, since a row may move to another partition. A partition left
     without rows is removed, because a dynamic overwrite does not touch what it gets no rows for.
-    Source keys must be unique and not NULL.
+    Source keys must be unique and not NULL. A format with row-level operations of its own does the
+    merge itself.
     """
     spark = source.sparkSession
+    if fmt != "parquet" and newer_than:
+        raise ValueError("newer_than works on parquet tables only")
     source = stage(source, "merge-source")
     faults = key_faults(source, keys).first()
     if faults.null_keys or faults.repeated_keys:
         raise ValueError(f"merge source: {faults.null_keys} rows with NULL keys, {faults.repeated_keys} repeated keys")
     if not table_exists(spark, path, fmt):
         return overwrite(source, path, partition_by, fmt)
+    if fmt != "parquet":
+        merge_into_table(source, f"{fmt}.`{path}`", keys)
+        return source.count()
     target = read_table(spark, path, fmt)
     # partition values come from folder names: take their types from the source, not from a guess
     types = [source.schema[f.name] if f.name in partition_by else f for f in target.schema]
@@ -157,7 +177,7 @@ def merge_into_path(
     touched = added | set(matched)
     if not touched:
         return 0
-    before = target.where(reduce(or_, [_partition_is(parts, values) for values in touched]))
+    before = target.where(in_partitions(parts, touched))
     merged = merge_rows(before, source, keys, newer_than)
     if newer_than is None:
         sizes = before.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -181,7 +201,7 @@ def _folders(table: DataFrame, parts: Sequence[str], partitions: set[tuple]) ->
     """The folders of the given partitions, as URIs; no column is read."""
     if not partitions:
         return []
-    chosen = table.where(reduce(or_, [_partition_is(parts, values) for values in partitions]))
+    chosen = table.where(in_partitions(parts, partitions))
     folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
     return [r[0] for r in chosen.select(folder).distinct().collect()]
 
@@ -229,7 +249,7 @@ def compact(
     found = small_file_partitions(spark, path, partition_by, smaller_than).select(*partition_by).collect()
     if not found:
         return 0
-    chosen = table.where(reduce(or_, [_partition_is(partition_by, tuple(r)) for r in found]))
+    chosen = table.where(in_partitions(partition_by, [tuple(r) for r in found]))
     return _write(
         sized(chosen, partition_by),
         path,

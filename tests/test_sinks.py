@@ -9,6 +9,7 @@ from lakestrata.sinks.tables import (
     append_evolving,
     append_quarantine,
     compact,
+    in_partitions,
     merge_into_path,
     overwrite,
     read_evolving,
@@ -182,3 +183,16 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     sized(df, ["p"]).write.partitionBy("p").parquet(path)
     assert len(list(Path(path).glob("p=1/*.parquet"))) > 4
     assert len(list(Path(path).glob("p=*/*.parquet"))) < 200
+
+
+def test_partition_filter(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(400).selectExpr("id", "CASE WHEN id % 7 > 0 THEN cast(id % 7 AS int) END AS a", "cast(id % 50 AS int) AS b")
+    overwrite(df, path, ["a", "b"])
+    wanted = {(r.a, r.b) for r in df.where("id % 3 = 0").collect()}
+    table = read_table(spark, path).where(in_partitions(["a", "b"], wanted))
+    assert {(r.a, r.b) for r in table.collect()} == wanted
+    text = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in text
+    many = [(a, b) for a in range(100) for b in range(100)]
+    assert spark.range(1).selectExpr("5 AS a", "7 AS b").where(in_partitions(["a", "b"], many)).count() == 1
