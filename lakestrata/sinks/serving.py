@@ -128,7 +128,10 @@ class Database:
         properties = jvm.java.util.Properties()
         for name, value in self.properties.items():
             properties.setProperty(name, str(value))
-        return loader.loadClass(self.driver).getDeclaredConstructor([]).newInstance([]).connect(self.url, properties)
+        connection = loader.loadClass(self.driver).newInstance().connect(self.url, properties)
+        if connection is None:
+            raise ValueError(f"driver {self.driver} does not accept this JDBC URL")
+        return connection
 
     def run(self, spark: SparkSession, statements: Sequence[str]) -> None:
         """Run the statements in one transaction; any error rolls all of them back."""

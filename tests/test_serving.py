@@ -157,6 +157,13 @@ def test_database_runs_one_transaction(spark, monkeypatch):
     assert db.options("t")["numPartitions"] == 16
 
 
+def test_driver_class_is_loaded_and_asked(spark):
+    with pytest.raises(ValueError, match="does not accept"):
+        Database("jdbc:none:x", driver="org.apache.hive.jdbc.HiveDriver", properties={"user": "u"}).connect(spark)
+    with pytest.raises(Exception, match="ClassNotFoundException"):
+        Database("jdbc:none:x", driver="no.such.Driver").connect(spark)
+
+
 def test_dry_run(spark):
     r = dry_run(mart(spark, 1, 2), DAILY).first()
     assert r.row_count == 2 and "ON CONFLICT (order_date, order_status)" in r.statement and "order_date date" in r.columns
