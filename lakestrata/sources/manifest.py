@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import MB
+from ..runtime import MB, hadoop_path
 
 WHOLE_FILE = 256 * MB
 
 
-def _file_name(path_column: str):
-    return F.element_at(F.split(path_column, "/"), -1)
+def _name_below(spark: SparkSession, root: str, path: Column) -> Column:
+    """File path relative to the folder the scan starts from (a glob starts at its last plain folder)."""
+    folder = re.split(r"[*?\[{]", root, maxsplit=1)[0]
+    if folder != root:
+        folder = folder.rsplit("/", 1)[0]
+    fs, jpath = hadoop_path(spark, folder)
+    return F.substr(path, F.lit(len(fs.makeQualified(jpath).toString()) + 2))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv", whole_file: int = WHOLE_FILE) -> DataFrame:
-    """``file_name, path, length, method, digest`` of the files below ``path``.
+    """``file_name, length, method, digest`` of the files below ``path``, named relative to it.
 
     Files up to ``whole_file`` bytes get the MD5 of their content. A larger one would have to pass
     through one task in one piece, so it gets a digest that many tasks build together: number of
@@ -45,13 +51,15 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv", whole_fil
             F.sum(F.pmod(line_hash, half)).alias("low"),
         )
         .select(
-            "path",
+            # a URI, other than the plain path of the small files; "+" is no blank in it
+            F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"),
             "length",
             F.lit("lines").alias("method"),
             F.concat_ws(":", "lines", "high", "low").alias("digest"),
         )
     )
-    return small.unionByName(large).select(_file_name("path").alias("file_name"), "path", "length", "method", "digest")
+    name = _name_below(spark, path, F.col("path")).alias("file_name")
+    return small.unionByName(large).select(name, "length", "method", "digest")
 
 
 def compare_manifests(before: DataFrame, after: DataFrame, key: str = "file_name") -> DataFrame:

@@ -108,6 +108,16 @@ def test_manifest_matches_hashlib_and_finds_changes(spark, tmp_path):
     assert counts.files == 3 and counts.folder.endswith("/before")
 
 
+def test_manifest_names_files_relative_to_the_folder(spark, tmp_path):
+    for day in ("d 1", "d+2"):
+        (tmp_path / "in" / day).mkdir(parents=True)
+        (tmp_path / "in" / day / "part.csv").write_text(f"id\n{day}\n")
+    for limit in (0, 100):
+        names = [r.file_name for r in file_manifest(spark, str(tmp_path / "in"), whole_file=limit).collect()]
+        assert sorted(names) == ["d 1/part.csv", "d+2/part.csv"]
+        assert sorted(r.file_name for r in file_manifest(spark, f"{tmp_path}/in/*", whole_file=limit).collect()) == sorted(names)
+
+
 def test_table_metrics(spark, tmp_path):
     full, empty = str(tmp_path / "full"), str(tmp_path / "empty")
     spark.range(100).repartition(3).write.parquet(full)
