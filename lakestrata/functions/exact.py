@@ -4,8 +4,8 @@ A distributed ``sum(double)`` changes its last digits with the order in which pa
 arrive, so a rounded money total can flip by a cent between two runs. Here every value is
 turned into whole millionths first and those integers are added. The integer sum is kept in
 two BIGINT halves (the low 24 bits and the rest), which cannot overflow below 2**39 rows per
-group and stays in generated code; a DECIMAL sum of the same values measured 6 to 13 times
-slower. Totals up to 2.8e11 are then rounded half-up in whole numbers; a larger total is
+group and stays in generated code; DECIMAL sums of the same values measured 6 to 13 times
+slower than the two halves. Totals up to 2.8e11 are then rounded half-up in whole numbers; a larger total is
 rounded from the nearest double.
 
 Values beyond +-9e11, infinities and NaN do not fit and are added as doubles beside the
