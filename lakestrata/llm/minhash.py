@@ -17,6 +17,8 @@ from .words import WordHashes, ascii_words, fold, shingles
 ROWS = 8
 BANDS = 64
 _BLOCK = 512
+_GROUP = 65_536
+_TILE = 4_096
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -94,24 +96,91 @@ def _similar(size: int, percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets reach the similarity.
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full shingle sets reach the similarity; ``texts`` has ``id, text``.
 
     The text of ``b`` travels to ``a``: many documents may have one leader, whose text is then not
-    copied for each of them before the shuffle. Only texts that occur in a pair are moved.
+    copied for each of them before the shuffle.
     """
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = saved(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        .where(F.col("text").isNotNull())
-        .join(wanted, "id", "left_semi"),
-        "texts",
-    )
     second = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     both = second.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_similar(size, percent), "a long, b long").distinct()
 
 
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``one`` with each of ``two``, by products of 0/1 matrices."""
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    total = np.zeros((len(one), len(two)))
+    for start in range(0, len(shared), _TILE):
+        tile = shared[start : start + _TILE]
+        sides = []
+        for sets in (one, two):
+            side = np.zeros((len(sets), len(tile)), np.float32)
+            for row, values in zip(side, sets, strict=True):
+                row[np.isin(tile, values, assume_unique=True)] = 1
+            sides.append(side)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def _linked_groups(size: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, at, first = WordHashes(), None, []
+
+        def sets(rows: list[dict]) -> list[np.ndarray]:
+            return [shingles(words.of(ascii_words(r["text"])), size) for r in rows]
+
+        for batch in batches:
+            out = []
+            for a, b, left, right in zip(*(batch.column(i) for i in range(4)), strict=True):
+                a, b, right = a.as_py(), b.as_py(), right.as_py()
+                if a != at:
+                    at, left = a, left.as_py()
+                    first = (left, sets(left))
+                left, one = first
+                two = one if a == b else sets(right)
+                same = _common(one, two)
+                sizes = np.add.outer([len(s) for s in one], [len(s) for s in two])
+                found = 100 * same >= percent * (sizes - same)
+                for i, j in zip(*np.nonzero(found), strict=True):
+                    if left[i]["part"] != right[j]["part"]:
+                        out.append((left[i]["id"], right[j]["id"]))
+            columns = list(zip(*out, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return run
+
+
+def links_across(rest: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Every link ``a, b`` between different parts among documents that share a bucket.
+
+    ``rest`` has ``key, id, n, part, lo`` (bucket, document, set size, part so far, smallest part in the
+    bucket). Documents are put into groups of about ``_GROUP`` shingles, large parts into groups of their own,
+    small ones with those they met; two groups that share a bucket are then compared as a block of sets, and
+    only links leave it. So no pair of documents is ever a row, and no group grows with the data.
+    """
+    nodes = rest.groupBy("id", "part", "n").agg(F.min("lo").alias("lo"))
+    sizes = nodes.groupBy("part").agg(F.count(F.lit(1)).alias("members"))
+    label = F.when(F.col("members") >= 128, F.col("part")).otherwise(F.col("lo"))
+    named = saved(nodes.join(sizes, "part").select("id", "part", "n", label.alias("label")), "named")
+    loads = named.groupBy("label").agg(F.ceil(F.sum("n") / _GROUP).alias("slots"))
+    group = F.xxhash64("label", F.pmod(F.xxhash64("id"), F.col("slots")))
+    homes = saved(named.join(loads, "label").select("id", "part", group.alias("group")), "homes")
+    met = (
+        rest.select("key", "id").join(homes, "id")
+        .groupBy("key", "group").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    )
+    other = met.select("key", F.col("group").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    several = F.least("lo", "lo_b") < F.greatest("hi", "hi_b")
+    blocks = met.withColumnRenamed("group", "a").join(other, "key").where((F.col("a") <= F.col("b")) & several)
+    row = F.struct("id", "part", "text")
+    content = saved(texts.join(homes, "id").groupBy("group").agg(F.collect_list(row).alias("rows")), "groups")
+    pairs = blocks.select("a", "b").distinct()
+    left = pairs.join(content.select(F.col("group").alias("a"), F.col("rows").alias("left")), "a")
+    both = left.join(content.select(F.col("group").alias("b"), F.col("rows").alias("right")), "b")
+    return both.select("a", "b", "left", "right").mapInArrow(_linked_groups(size, percent), "a long, b long").distinct()
+
+
 def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
@@ -136,8 +205,8 @@ def near_duplicates(
     confirmed on full sets.
 
     No bucket is expanded into all its pairs. Equal sets are one node from the start. In each bucket
-    every node is first compared with the smallest one; then only nodes of the same bucket that are
-    still in different components are compared, so a bucket of one large group costs one pair per node.
+    every node is first compared with the smallest one, so a bucket of one large group costs one pair per
+    node; then only nodes that share a bucket and are still in different components are compared, in blocks.
 
     NULL and empty texts, and texts of blanks only, have an empty set: linked with nothing and kept.
     A row with NULL id is linked with nothing and kept, its component is NULL. Rows that share an id are
@@ -158,31 +227,21 @@ def near_duplicates(
         .select("key", "id", "n", F.col("first.id").alias("lead"), F.col("first.n").alias("lead_n")),
         "members",
     )
-    stars = saved(
+    texts = saved(own.where(F.col("text").isNotNull()).join(members.select("id").distinct(), "id", "left_semi"), "texts")
+    stars = (
         members.where("id <> lead").where(_sizes_fit(F.col("n"), F.col("lead_n"), percent))
-        .select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(),
-        "stars",
+        .select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     )
-    links = saved(confirmed(stars, own, "id", "text", size, percent), "links")
+    links = saved(confirmed(stars, texts, size, percent), "links")
 
     # nodes of one bucket that the first round has left in different components
     found = saved(components(links), "found")
     labelled = members.join(found, F.col("id") == F.col("node"), "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("part")
     )
-    mixed_keys = labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    rest = saved(labelled.join(mixed_keys.select("key"), "key", "left_semi"), "rest")
-    parts = rest.select("key", "part").distinct()
-    across = parts.withColumnRenamed("part", "p").join(parts.withColumnRenamed("part", "q"), "key").where("p < q")
-    left = rest.select("key", F.col("part").alias("p"), F.col("id").alias("x"), F.col("n").alias("nx"))
-    right = rest.select("key", F.col("part").alias("q"), F.col("id").alias("y"), F.col("n").alias("ny"))
-    more = (
-        across.join(left, ["key", "p"]).join(right, ["key", "q"])
-        .where(_sizes_fit(F.col("nx"), F.col("ny"), percent))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    links = links.unionByName(saved(confirmed(saved(more, "more"), own, "id", "text", size, percent), "links"))
+    open_keys = labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
+    rest = saved(labelled.join(open_keys.select("key", "lo"), "key"), "rest")
+    links = links.unionByName(saved(links_across(rest, texts, size, percent), "links"))
 
     # rows that share an id but not the text
     split = placed.groupBy("id").agg(F.min("leader").alias("a"), F.max("leader").alias("z")).where("a <> z")
