@@ -35,6 +35,8 @@ FEATURES = (
     "punctuation", "obfuscated", "stretched", "other_characters", "digits",
 )
 _NEAR = 5
+_PARTS = 16
+_MIXED = re.compile(r"\w[^\w\s'’.,:;-]+\w|[^\W\d_]\d+[^\W\d_]|\d[^\W\d_]{2}")
 
 
 def _plain(token: str) -> str:
@@ -53,58 +55,67 @@ def lexicon_keys(token: str) -> list[str]:
     return [f"w:{word}"] * bool(word) + [f"s:{word[:n]}" for n in _PREFIX if len(word) > n]
 
 
-class Features:
+class Features(dict):
     """Dense features of whole texts; a token's part in them is worked out once and looked up afterwards."""
 
-    def __init__(self, lexicon: dict[str, float], limit: int = 500_000):
+    def __init__(self, lexicon: dict[str, float], limit: int = 600_000):
+        super().__init__()
         self.lexicon, self.limit = lexicon, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.rows: list[tuple] = []
-
-    def _row(self, token: str) -> tuple:
-        keys, word = lexicon_keys(token), _plain(token)
-        weights = [self.lexicon[k] for k in keys if k in self.lexicon]
-        plain_hit = f"w:{word}" in self.lexicon
-        open_word, mixed = _unhidden(token), bool(re.search(r"\w[^\w\s'’.,:;-]+\w|[^\W\d_]\d+[^\W\d_]|\d[^\W\d_]{2}", token))
-        hidden = not weights and open_word != word and f"w:{open_word}" in self.lexicon
-        letters, upper = sum(map(str.isalpha, token)), sum(map(str.isupper, token))
-        best = max(weights, default=self.lexicon.get(f"w:{open_word}", 0.0) if hidden else 0.0)
+        self.rows = np.zeros((1024, _PARTS), np.float32)
+
+    def __missing__(self, token: str) -> int:
+        code = self[token] = len(self)
+        if code >= len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[code] = self._parts(token)
+        return code
+
+    def _parts(self, token: str) -> tuple:
+        word, plain = _plain(token), token.isalpha()
+        whole = self.lexicon.get(f"w:{word}")
+        stems = [w for n in _PREFIX if len(word) > n and (w := self.lexicon.get(f"s:{word[:n]}"))]
+        stretched = bool(_STRETCH.search(token))
+        best, hidden = max([whole or 0.0, *stems]), False
+        if not best and (stretched or not plain) and (open_word := _unhidden(token)) != word:
+            best = self.lexicon.get(f"w:{open_word}", 0.0)
+            hidden = best > 0
+        upper, letters = 0, len(token)
+        if not token.islower():
+            upper, letters = sum(map(str.isupper, token)), sum(map(str.isalpha, token))
+        elif not plain:
+            letters = sum(map(str.isalpha, token))
+        odd = (0, 0, 0, False, 0, 0)
+        if not plain or not token.isascii():
+            odd = (
+                token.count("!"), token.count("?"), sum(not c.isalnum() for c in token), bool(_MIXED.search(token)),
+                sum(ord(c) > 0x24F for c in token), sum(map(str.isdigit, token)),
+            )
         return (
-            plain_hit, bool(weights) and not plain_hit, best, hidden, word in SECOND_PERSON, letters, upper,
-            letters > 2 and upper == letters, token.count("!"), token.count("?"), sum(not c.isalnum() for c in token),
-            mixed, bool(_STRETCH.search(token)), sum(ord(c) > 0x24F for c in token), sum(map(str.isdigit, token)), len(token),
+            whole is not None, whole is None and bool(stems), best, hidden, word in SECOND_PERSON, letters, upper,
+            letters > 2 and upper == letters, *odd, stretched, len(token),
         )
 
     def of(self, text: str) -> np.ndarray:
         tokens = text.split()
         if not tokens:
             return np.zeros(len(FEATURES))
-        if len(self.code) > self.limit:
+        if len(self) > self.limit:
             self.clear()
-        for t in set(tokens).difference(self.code):
-            self.code[t] = len(self.rows)
-            self.rows.append(self._row(t))
-        codes = np.fromiter(map(self.code.__getitem__, tokens), np.int64, len(tokens))
-        kinds, times = np.unique(codes, return_counts=True)
-        table = np.array([self.rows[k] for k in kinds], float)
-        total = times @ table
-        n, letters, size = len(tokens), max(1.0, total[5]), max(1.0, total[15])
-        near = 0
-        hits = {k for k, r in zip(kinds.tolist(), table, strict=True) if r[0] or r[1] or r[3]}
-        if hits and total[4]:
-            you = {k for k, r in zip(kinds.tolist(), table, strict=True) if r[4]}
-            at, to = np.flatnonzero(np.isin(codes, list(hits))), np.flatnonzero(np.isin(codes, list(you)))
+        codes = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        parts = self.rows[codes]
+        total = parts.sum(axis=0, dtype=np.float64)
+        (whole, stem, weight, hidden, you, letters, upper, shouted, exclaimed, questioned, marks, mixed, others, digits,
+         stretched, size) = total.tolist()
+        n, near = len(tokens), 0
+        if you and weight:
+            at, to = np.flatnonzero(parts[:, 2]), np.flatnonzero(parts[:, 4])
             place = np.searchsorted(to, at)
             before, after = at - to[np.maximum(place - 1, 0)], to[np.minimum(place, len(to) - 1)] - at
             near = int((((before >= 0) & (before <= _NEAR)) | ((after >= 0) & (after <= _NEAR))).sum())
         return np.array([
-            math.log1p(n), math.log1p(total[0]), total[0] / n, math.log1p(total[1]), total[1] / n,
-            math.log1p(total[2]), table[:, 2].max(), total[2] / n, math.log1p(total[3]), total[4] / n, near,
-            total[6] / letters, total[7] / n, total[8] / n, total[9] / n, total[10] / size, total[11] / n,
-            total[12] / n, total[13] / size, total[14] / size,
+            math.log1p(n), math.log1p(whole), whole / n, math.log1p(stem), stem / n, math.log1p(weight),
+            float(parts[:, 2].max()), weight / n, math.log1p(hidden), you / n, near, upper / max(1.0, letters), shouted / n,
+            exclaimed / n, questioned / n, marks / size, mixed / n, stretched / n, others / size, digits / size,
         ])
 
 
