@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import saved
-from .words import WordHashes, fold
+from .words import WordHashes, combined
 
 # 1: the token counts, 0: it may be any token
 MASKS = ("11011001011011", "11101011001101", "10110110111001", "11001110101011")
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 FILTER_BITS = 1 << 24
+# where the three bits of a seed in the filter are taken from
+SHIFTS = (0, 20, 40)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -29,7 +31,7 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, np.uint64)
     places = [i for i, c in enumerate(mask) if c == "1"]
-    return fold([hashes[i : i + count] for i in places], seed=int(mask, 2))
+    return combined([hashes[i : i + count] for i in places], seed=int(mask, 2))
 
 
 def _item_masks(n: int, masks: Sequence[str]) -> list[str]:
@@ -59,7 +61,11 @@ def _hits(masks: Sequence[str], short: Sequence[int], words_of_filter):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bits = WordHashes(), np.frombuffer(words_of_filter.value, np.uint8)
-        size = np.uint64(len(bits) * 8 - 1)
+
+        def held(own: np.ndarray, shift: int) -> np.ndarray:
+            at = (own >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
+            return np.flatnonzero(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -67,8 +73,9 @@ def _hits(masks: Sequence[str], short: Sequence[int], words_of_filter):
                 found, places = [], []
                 for mask in looks:
                     own = seeds(hashes, mask)
-                    at = own & size
-                    hit = np.flatnonzero(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+                    hit = held(own, SHIFTS[0])
+                    for shift in SHIFTS[1:]:
+                        hit = hit[held(own[hit], shift)]
                     found.append(own[hit])
                     places.append(hit)
                 found = np.concatenate(found)
@@ -115,15 +122,15 @@ def _overlaps(min_match: int, penalty: int):
     return run
 
 
-def _filter_bytes(seed_rows: DataFrame, bits: int) -> bytes:
-    """A bit per low part of a seed. Its size is fixed: a larger benchmark fills it and lets more through to the join."""
-    low = F.col("seed").bitwiseAND(F.lit(bits - 1).cast("long"))
+def _filter_bytes(seed_rows: DataFrame) -> bytes:
+    """Three bits per seed. The size is fixed: a larger benchmark fills it and lets more through to the join."""
+    bits = F.explode(F.array(*[F.shiftrightunsigned("seed", n).bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")) for n in SHIFTS]))
     rows = (
-        seed_rows.select(low.alias("bit")).distinct()
+        seed_rows.select(bits.alias("bit")).distinct()
         .groupBy(F.shiftright("bit", 16).alias("page"))
         .agg(F.collect_list((F.col("bit").bitwiseAND(F.lit(0xFFFF).cast("long"))).cast("int")).alias("at"))
     )
-    table = np.zeros(bits, np.uint8)
+    table = np.zeros(FILTER_BITS, np.uint8)
     for row in rows.toLocalIterator():
         table[(row.page << 16) + np.array(row.at)] = 1
     return np.packbits(table, bitorder="little").tobytes()
@@ -164,7 +171,7 @@ def contaminated(
     )
     # the short lengths are at most as many as a mask is long
     short = sorted(r.span for r in tests.where(F.col("span") < min(map(len, masks))).select("span").distinct().collect())
-    table = spark.sparkContext.broadcast(_filter_bytes(tests, FILTER_BITS))
+    table = spark.sparkContext.broadcast(_filter_bytes(tests))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = saved(
         read.mapInArrow(_hits(masks, short, table), "doc_id long, seeds array<long>, places array<long>, doc_tokens binary"),
