@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm import decontaminate, minhash, packing, toxicity
-from lakestrata.llm.store import saved
+from lakestrata.llm.store import ready, saved
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, packed into sequences of 4096."""
+    ready(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

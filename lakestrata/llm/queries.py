@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
 from . import chat, decontaminate, licenses, minhash, packing, tokens, topk, toxicity, urls, warc
-from .store import ensure_folder
+from .store import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +18,7 @@ RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,8 +43,8 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_folder(spark)
-    folder = warc.write_warc(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    pages = _table(spark, sf_dir, "pages")
+    folder = warc.write_warc(pages, scratch_path(spark, "warc"))
     found = warc.read_warc(spark, folder)
     return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

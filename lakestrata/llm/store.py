@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import scratch_path
 
 
-def ensure_folder(spark: SparkSession) -> None:
-    """``spark.checkpoint.dir`` is used as it is set; only a local session without it (tests) gets a folder of its own."""
-    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
-    if unset and spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-llm-"))
+def ready(spark: SparkSession) -> None:
+    """``spark.checkpoint.dir`` is used as it is set; only a local session without it (tests) gets a folder of its own.
+
+    The workers of a local session also learn where this package lies; on a cluster it is installed or shipped
+    (``--py-files``) like any other.
+    """
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-llm-"))
+    root, known = str(Path(__file__).resolve().parents[2]), context.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: the lineage ends here."""
     spark = df.sparkSession
-    ensure_folder(spark)
+    ready(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import hadoop_path, scratch_path
-from .store import ensure_folder
+from .store import ready
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ADDRESS = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
@@ -132,7 +132,7 @@ def judge_urls(
     table gives an empty result.
     """
     spark = pages.sparkSession
-    ensure_folder(spark)
+    ready(spark)
     split = [(*r.partition("/"), v) for r, v in rules]
     table = {(host, slash + path): v for host, slash, path, v in split}
     verdicts = sorted(set(table.values()))
