@@ -41,11 +41,12 @@ def _pieces() -> tuple[re.Pattern, re.Pattern]:
 
 
 class _Chunks(dict):
-    """A value per chunk (a run without white space); emptied when it grows past ``limit`` entries."""
+    """A value per chunk (a run without white space). Past ``limit`` entries a new generation begins; what is met
+    again is taken over from the one before, all else goes."""
 
     def __init__(self, path: str, limit: int):
         super().__init__()
-        self.library, self.limit = _library(path), limit
+        self.library, self.limit, self.old = _library(path), limit, {}
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
         self.unlike, self.token = _pieces()
 
@@ -55,19 +56,23 @@ class _Chunks(dict):
             return None
         return text.lower().split()
 
-    def encoded(self, items: list[str]) -> list[np.ndarray]:
-        """Ids of many chunks in one call: white space parts them as it does in a text."""
+    def encoded(self, items: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Ids of many chunks in one call (white space parts them as it does in a text), and where each begins."""
         encoding = self.library.encode(" ".join(items), add_special_tokens=False)
         starts = np.cumsum([0] + [len(i) + 1 for i in items])
         at = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.offsets))
-        return np.split(np.array(encoding.ids, "<u4"), np.searchsorted(at, starts[1:-1]))
+        return np.array(encoding.ids, "<u4"), np.searchsorted(at, starts).tolist()
 
     def learn(self, texts: list[list[str] | None]) -> None:
         if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
-        new = list({c for chunks in texts if chunks for c in chunks if c not in self})
-        for start in range(0, len(new), 10_000):
-            self.add(new[start : start + 10_000])
+        new = set().union(*(chunks for chunks in texts if chunks)).difference(self)
+        known = new.intersection(self.old)
+        self.update((c, self.old[c]) for c in known)
+        rest = list(new - known)
+        for start in range(0, len(rest), 10_000):
+            self.add(rest[start : start + 10_000])
 
     def add(self, new: list[str]) -> None:
         raise NotImplementedError
@@ -77,7 +82,9 @@ class Ids(_Chunks):
     """Chunk to its token ids as little-endian 32-bit numbers."""
 
     def add(self, new: list[str]) -> None:
-        self.update((c, ids.tobytes()) for c, ids in zip(new, self.encoded(new), strict=True))
+        ids, ends = self.encoded(new)
+        data = ids.tobytes()
+        self.update((c, data[4 * i : 4 * j]) for c, i, j in zip(new, ends[:-1], ends[1:], strict=True))
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         parted = [self.chunks(t) for t in texts]
@@ -99,7 +106,8 @@ class Counts(_Chunks):
     def add(self, new: list[str]) -> None:
         parted = [self.token.findall(c) for c in new]
         merge = list({p for parts in parted for p in parts if p not in self.whole})
-        merged = dict(zip(merge, map(len, self.encoded(merge)), strict=True)) if merge else {}
+        ends = self.encoded(merge)[1]
+        merged = {p: j - i for p, i, j in zip(merge, ends[:-1], ends[1:], strict=True)}
         self.update((c, sum(merged.get(p, 1) for p in parts)) for c, parts in zip(new, parted, strict=True))
 
     def of(self, texts: list[str]) -> Iterator[int]:
@@ -143,13 +151,13 @@ def count_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     limit: int = 2048,
-    cached: int = 500_000,
+    cached: int = 400_000,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row: the count the library gives for the whole text.
 
     Each task proves once which vocabulary strings are whole tokens (49,000 short encodings). A pre-token
-    among them counts as one; all others are merged by the library, many in one call. The counts of up to
-    ``cached`` distinct chunks are kept per worker. Texts that are not plain Latin, and texts that hold
+    among them counts as one; all others are merged by the library, many in one call. The counts of about
+    twice ``cached`` distinct chunks at most are kept per worker. Texts that are not plain Latin, and texts that hold
     a special token's string, go to the library as they are, so its defaults hold for them.
 
     NULL text counts as empty: 0 bytes, 0 tokens. Rows stay as they are: repeated rows give repeated
