@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakestrata.llm import decontaminate, minhash, packing, toxicity
-from lakestrata.llm.store import ready, saved
+from lakestrata.llm.store import ready, rows_with, rows_without, saved
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,19 +21,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (sets of five-word shingles, similarity 0.8) the smallest id stays, once."""
     found = saved(minhash.near_duplicates(docs), "near")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    again = found.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select(F.col("doc_id").alias("again_id"))
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    once = left.join(again, left["doc_id"] == again["again_id"], "left_anti")
-    twice = left.join(again, left["doc_id"] == again["again_id"], "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(twice)
+    left = rows_without(docs, "doc_id", found.where("NOT kept").select("doc_id"))
+    again = found.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    once = rows_without(left, "doc_id", again)
+    return once.unionByName(rows_with(left, "doc_id", again).dropDuplicates(["doc_id"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = decontaminate.contaminated(docs, benchmark).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    gone = saved(decontaminate.contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    return rows_without(docs, "doc_id", gone)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

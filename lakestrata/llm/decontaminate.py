@@ -10,15 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import HashFilter, saved
 from .words import WordHashes, combined
 
 # 1: the token counts, 0: it may be any token
 MASKS = ("11011001011011", "11101011001101", "10110110111001", "11001110101011")
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 FILTER_BITS = 1 << 24
-# where the three bits of a seed in the filter are taken from
-SHIFTS = (0, 20, 40)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -56,15 +54,11 @@ def _items(masks: Sequence[str]):
     return run
 
 
-def _hits(masks: Sequence[str], short: Sequence[int], words_of_filter):
+def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
     looks = [*masks, *("1" * n for n in short)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = WordHashes(), np.frombuffer(words_of_filter.value, np.uint8)
-
-        def held(own: np.ndarray, shift: int) -> np.ndarray:
-            at = (own >> np.uint64(shift)) & np.uint64(FILTER_BITS - 1)
-            return np.flatnonzero(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+        words = WordHashes()
 
         for batch in batches:
             out = []
@@ -73,9 +67,7 @@ def _hits(masks: Sequence[str], short: Sequence[int], words_of_filter):
                 found, places = [], []
                 for mask in looks:
                     own = seeds(hashes, mask)
-                    hit = held(own, SHIFTS[0])
-                    for shift in SHIFTS[1:]:
-                        hit = hit[held(own[hit], shift)]
+                    hit = known.held(own)
                     found.append(own[hit])
                     places.append(hit)
                 found = np.concatenate(found)
@@ -122,20 +114,6 @@ def _overlaps(min_match: int, penalty: int):
     return run
 
 
-def _filter_bytes(seed_rows: DataFrame) -> bytes:
-    """Three bits per seed. The size is fixed: a larger benchmark fills it and lets more through to the join."""
-    bits = F.explode(F.array(*[F.shiftrightunsigned("seed", n).bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")) for n in SHIFTS]))
-    rows = (
-        seed_rows.select(bits.alias("bit")).distinct()
-        .groupBy(F.shiftright("bit", 16).alias("page"))
-        .agg(F.collect_list((F.col("bit").bitwiseAND(F.lit(0xFFFF).cast("long"))).cast("int")).alias("at"))
-    )
-    table = np.zeros(FILTER_BITS, np.uint8)
-    for row in rows.toLocalIterator():
-        table[(row.page << 16) + np.array(row.at)] = 1
-    return np.packbits(table, bitorder="little").tobytes()
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -164,17 +142,16 @@ def contaminated(
     overlap of any of them is reported once. Overlaps of a row with NULL id are reported with NULL.
     Other columns are not read. An empty table on either side gives an empty result.
     """
-    spark = docs.sparkSession
     item_rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     tests = saved(
         item_rows.mapInArrow(_items(masks), "item_id long, span int, seed long, item_at long, item_tokens binary"), "tests"
     )
     # the short lengths are at most as many as a mask is long
     short = sorted(r.span for r in tests.where(F.col("span") < min(map(len, masks))).select("span").distinct().collect())
-    table = spark.sparkContext.broadcast(_filter_bytes(tests))
+    known = HashFilter(tests.select("seed"), FILTER_BITS)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = saved(
-        read.mapInArrow(_hits(masks, short, table), "doc_id long, seeds array<long>, places array<long>, doc_tokens binary"),
+        read.mapInArrow(_hits(masks, short, known), "doc_id long, seeds array<long>, places array<long>, doc_tokens binary"),
         "hits",
     )
     places = hits.select("doc_id", F.explode(F.arrays_zip("seeds", "places")).alias("z"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import saved
+from .store import rows_with, saved
 from .words import WordHashes, ascii_words, fold, shingles
 
 ROWS = 8
@@ -227,7 +227,7 @@ def near_duplicates(
         .select("key", "id", "n", F.col("first.id").alias("lead"), F.col("first.n").alias("lead_n")),
         "members",
     )
-    texts = saved(own.where(F.col("text").isNotNull()).join(members.select("id").distinct(), "id", "left_semi"), "texts")
+    texts = saved(rows_with(own.where(F.col("text").isNotNull()), "id", members.select("id")), "texts")
     stars = (
         members.where("id <> lead").where(_sizes_fit(F.col("n"), F.col("lead_n"), percent))
         .select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()

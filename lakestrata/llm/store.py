@@ -6,7 +6,10 @@ import os
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
 
@@ -34,3 +37,63 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class HashFilter:
+    """A bit table of fixed size that tells for a 64-bit hash whether it may be among those given (three bits each).
+
+    It is built by partial aggregation and holds ``bits / 8`` bytes whatever is put in, so it may be broadcast. Very
+    many hashes fill it: it then lets more through, and the exact join that must follow sees more rows.
+    """
+
+    SHIFTS = (0, 19, 38)
+    _PAGE = 15
+
+    def __init__(self, hashes: DataFrame, bits: int):
+        column, self.mask = hashes.columns[0], bits - 1
+        each = [F.shiftrightunsigned(column, n).bitwiseAND(F.lit(self.mask).cast("long")) for n in self.SHIFTS]
+        pages = (
+            hashes.select(F.explode(F.array(*each)).alias("bit"))
+            .groupBy(F.shiftright("bit", self._PAGE).alias("page"))
+            .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit((1 << self._PAGE) - 1).cast("long"))).alias("table"))
+        )
+        table, size = bytearray(bits // 8), 1 << (self._PAGE - 3)
+        for row in pages.collect():
+            table[row.page * size : (row.page + 1) * size] = row.table
+        self.shared = hashes.sparkSession.sparkContext.broadcast(bytes(table))
+
+    def held(self, values: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may be among those given."""
+        bits, places = np.frombuffer(self.shared.value, np.uint8), None
+        for shift in self.SHIFTS:
+            at = ((values if places is None else values[places]) >> np.uint64(shift)) & np.uint64(self.mask)
+            hit = np.flatnonzero(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            places = hit if places is None else places[hit]
+        return places
+
+
+def _maybe(ids: DataFrame, id_column: Column, bits: int = 1 << 26) -> Column:
+    """Whether an id may be among ``ids`` (first column). NULL is not."""
+    seen = HashFilter(ids.select(F.xxhash64(ids.columns[0]).alias("hash")), bits)
+
+    @F.pandas_udf("boolean")
+    def found(hashes: pd.Series) -> pd.Series:
+        out = np.zeros(len(hashes), bool)
+        out[seen.held(hashes.to_numpy().view(np.uint64))] = True
+        return pd.Series(out)
+
+    return found(F.xxhash64(id_column)) & id_column.isNotNull()
+
+
+def rows_with(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids`` (one column). Only rows that pass the filter are shuffled."""
+    wanted = ids.select(F.col(ids.columns[0]).alias("wanted_id")).distinct()
+    return df.where(_maybe(wanted, df[id_col])).join(wanted, df[id_col] == wanted["wanted_id"], "left_semi")
+
+
+def rows_without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is not among ``ids`` (one column), those with NULL id included. Rows that the filter
+    rules out are taken as they are; only the others are shuffled."""
+    gone = ids.select(F.col(ids.columns[0]).alias("gone_id")).distinct()
+    maybe = _maybe(gone, df[id_col])
+    return df.where(~maybe).unionByName(df.where(maybe).join(gone, df[id_col] == gone["gone_id"], "left_anti"))
