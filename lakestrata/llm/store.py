@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ready(spark: SparkSession) -> None:
     """``spark.checkpoint.dir`` is used as it is set; only a local session without it (tests) gets a folder of its own.
@@ -31,11 +33,19 @@ def ready(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: the lineage ends here."""
+    """Write rows to the shared folder and read them back: the lineage ends here.
+
+    Rows may hold two whole texts, so they go to Python in batches of a thousand while this is written.
+    """
     spark = df.sparkSession
     ready(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, "1000")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -58,7 +58,7 @@ def lexicon_keys(token: str) -> list[str]:
 class Features(dict):
     """Dense features of whole texts; a token's part in them is worked out once and looked up afterwards."""
 
-    def __init__(self, lexicon: dict[str, float], limit: int = 600_000):
+    def __init__(self, lexicon: dict[str, float], limit: int = 250_000):
         super().__init__()
         self.lexicon, self.limit = lexicon, limit
         self.rows = np.zeros((1024, _PARTS), np.float32)

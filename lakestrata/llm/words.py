@@ -12,7 +12,7 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 class WordHashes(dict):
     """64-bit hash of each word met so far; emptied between texts when it grows past ``limit`` entries."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 
