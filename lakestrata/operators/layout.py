@@ -19,18 +19,14 @@ def sized(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """A double that sorts like the column (text: like its first six bytes)."""
-    c = F.col(name)
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        c = c.cast("timestamp")
-    return c.cast("double")
+def _limits(df: DataFrame, name: str, parts: int) -> list:
+    """At most ``parts - 1`` values of a column that cut it into parts of about equal size, in its own type.
+
+    The column alone is range-partitioned and the least value of each part comes back.
+    """
+    values = df.select(name).where(F.col(name).isNotNull()).repartitionByRange(parts, name)
+    least = values.groupBy(F.spark_partition_id().alias("part")).agg(F.min(name).alias("least")).orderBy("least").collect()
+    return list(dict.fromkeys(r.least for r in least))[1:]
 
 
 def _spread(bucket: int, place: int, columns: int) -> int:
@@ -38,7 +34,7 @@ def _spread(bucket: int, place: int, columns: int) -> int:
     return sum(((bucket >> bit) & 1) << (bit * columns + place) for bit in range(bucket.bit_length()))
 
 
-def _bucket(x: Column, cuts: Sequence[float], leaf: Callable[[int], int], base: int = 0) -> Column:
+def _bucket(x: Column, cuts: Sequence, leaf: Callable[[int], int], base: int = 0) -> Column:
     """``leaf(number of cuts not above x)`` as a balanced tree of comparisons."""
     if not cuts:
         return F.lit(leaf(base)).cast("long")
@@ -51,20 +47,15 @@ def _bucket(x: Column, cuts: Sequence[float], leaf: Callable[[int], int], base:
 def with_z_key(df: DataFrame, columns: Sequence[str], name: str = "_cluster", bits: int = 6) -> DataFrame:
     """Add the Z-order key: the interleaved bits of each column's range bucket.
 
-    Bucket limits are quantiles of the columns (one aggregation; at most ``2**bits - 1`` numbers per
-    column come back), so skewed values still fill all buckets. NULL goes to bucket 0. Each step is a
-    column of its own, so that no position or bucket is computed twice.
+    Bucket limits are values of the column (at most ``2**bits - 1`` per column come back), compared in its own
+    type, so text of a common prefix and skewed values still fill all buckets. NULL goes to bucket 0.
     """
-    at = [i / 2**bits for i in range(1, 2**bits)]
-    places = {f"_at{i}": c for i, c in enumerate(columns)}
-    placed = df.withColumns({p: _position(df, c) for p, c in places.items()})
-    quantiles = placed.agg(*[F.percentile_approx(p, at, 10_000).alias(p) for p in places]).first()
     keys = {}
-    for i, p in enumerate(places):
-        tree = _bucket(F.col(p), sorted(set(quantiles[p] or [])), lambda b, i=i: _spread(b, i, len(columns)))
-        keys[f"_key{i}"] = F.when(F.col(p).isNull(), F.lit(0).cast("long")).otherwise(tree)
+    for i, c in enumerate(columns):
+        tree = _bucket(F.col(c), _limits(df, c, 2**bits), lambda b, i=i: _spread(b, i, len(columns)))
+        keys[f"_key{i}"] = F.when(F.col(c).isNull(), F.lit(0).cast("long")).otherwise(tree)
     key = reduce(lambda a, b: a.bitwiseOR(b), [F.col(k) for k in keys])
-    return placed.withColumns(keys).withColumn(name, key).drop(*places, *keys)
+    return df.withColumns(keys).withColumn(name, key).drop(*keys)
 
 
 def clustered(

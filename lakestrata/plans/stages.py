@@ -120,7 +120,7 @@ def bronze_to_silver(
     source_path = source_path or lake.path("bronze", plan.raw)
     prepare(spark)
     size_shuffles(spark, [source_path])
-    raw = read_csv_permissive(spark, source_path, plan.schema)
+    raw = read_csv_permissive(spark, source_path, plan.schema, check_header=True)
     valid, bad = split_invalid(raw, plan.key, required)
     quarantined = append_quarantine(bad, lake.path("silver", plan.quarantine), lake.fmt)
     clean, path = plan.clean(valid), lake.path("silver", plan.silver)
@@ -175,7 +175,7 @@ def sales_to_silver(spark: SparkSession, lake: Lake, bronze: str = "raw_orders",
     size_shuffles(spark, [source])
     clean, path = sales.clean(read_evolving(spark, source, lake.fmt)), lake.path("silver", silver)
     if table_exists(spark, path, lake.fmt):
-        return merge_into_path(clean, path, [sales.KEY], fmt=lake.fmt)
+        return merge_into_path(clean, path, [sales.KEY], fmt=lake.fmt, evolve=True)
     return overwrite(clean, path, fmt=lake.fmt)
 
 

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterable
-from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
 
@@ -19,23 +17,15 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="lakestrata-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a folder of its own; a cluster
-    without it is an error, because a machine-local folder would lose rows there.
+    A session without it is an error, because rows in a machine-local folder would be lost on a cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -84,16 +74,6 @@ def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> dict[str, int]:
     return wanted
 
 
-def spread(df: DataFrame, total_bytes: int) -> DataFrame:
-    """Give every core a part of a table too small to be read in as many splits (below 4 MB per core).
-
-    Larger tables come in enough splits and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = min(cores, total_bytes // MB)
-    return df.repartition(parts) if parts > 1 and total_bytes < cores * 4 * MB else df
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the stages rely on: timestamps are parsed and cut into days in UTC.
 

@@ -33,16 +33,23 @@ def serving_table(name: str) -> ServingTable:
 
 
 def serving_rows(df: DataFrame, table: str) -> DataFrame:
-    """The mart as the serving table stores it: lower-case names, the table's types and precision."""
+    """The mart as the serving table stores it: lower-case names, the table's types and precision.
+
+    A column the table lacks is an error. A value that does not fit its type becomes NULL here; ``precision_faults``
+    counts those in the mart.
+    """
     known = serving_table(table)
     rows = lower_names(df)
-    return rows.select([F.col(c).cast(known.spark_type(c)).alias(c) for c in rows.columns if c in known.columns])
+    if unknown := [c for c in rows.columns if c not in known.columns]:
+        raise ValueError(f"{table} has no columns {unknown}")
+    return rows.select([F.col(c).try_cast(known.spark_type(c)).alias(c) for c in rows.columns])
 
 
 def constraint_faults(rows: DataFrame, table: str) -> DataFrame:
-    """``constraint, violations`` for NOT NULL, text length and primary key."""
+    """``constraint, violations`` for NOT NULL, text length and primary key. A required column that is missing
+    counts every row."""
     known = serving_table(table)
-    faults = {f"{c} not null": F.col(c).isNull() for c in known.required if c in rows.columns}
+    faults = {f"{c} not null": F.col(c).isNull() if c in rows.columns else F.lit(True) for c in known.required}
     faults |= {f"{c} at most {n}": F.length(c) > n for c, n in known.max_lengths().items() if c in rows.columns}
     entries = [
         F.struct(F.lit(label).alias("constraint"), F.coalesce(F.count(F.when(bad, 1)), F.lit(0)).alias("violations"))
@@ -55,22 +62,29 @@ def constraint_faults(rows: DataFrame, table: str) -> DataFrame:
     return checks.unionByName(keys)
 
 
-def _assignments(columns: Sequence[str], keys: Sequence[str], loaded_at: str) -> str:
-    changed = [f"{c} = EXCLUDED.{c}" for c in columns if c not in keys]
-    if not changed:
-        return "DO NOTHING"
-    return "DO UPDATE SET " + ", ".join([*changed, f"{loaded_at} = CURRENT_TIMESTAMP"])
+def precision_faults(df: DataFrame, table: str) -> DataFrame:
+    """``constraint, violations``: values of a mart that do not fit the type of their serving column."""
+    known, rows = serving_table(table), lower_names(df)
+    entries = [
+        F.struct(
+            F.lit(f"{c} fits {known.columns[c]}").alias("constraint"),
+            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(known.spark_type(c)).isNull()).alias("violations"),
+        )
+        for c in rows.columns
+        if c in known.columns
+    ]
+    return rows.agg(F.array(*entries).alias("all")).select(F.inline("all"))
 
 
-def upsert_sql(
-    table: str, columns: Sequence[str], keys: Sequence[str], rows: str = "VALUES %s", loaded_at: str = "_postgres_loaded_at"
-) -> str:
-    """``INSERT ... ON CONFLICT`` that updates all but the key columns and stamps the load time.
-    ``rows`` is the source: a values placeholder or a SELECT from the staging table."""
-    return (
-        f"INSERT INTO {table} ({', '.join(columns)}) {rows} "
-        f"ON CONFLICT ({', '.join(keys)}) {_assignments(columns, keys, loaded_at)}"
-    )
+def upsert_sql(table: str, columns: Sequence[str], keys: Sequence[str], staging: str, loaded_at: str = "_postgres_loaded_at") -> str:
+    """One statement that moves the distinct rows of a staging table: new keys are added, rows of known keys take
+    the staged values and a new load time. A table of keys alone has nothing to update."""
+    names = ", ".join(columns)
+    updates = {c: f"EXCLUDED.{c}" for c in columns if c not in keys}
+    if updates:
+        updates[loaded_at] = "CURRENT_TIMESTAMP"
+    action = "UPDATE SET " + ", ".join(f"{c} = {value}" for c, value in updates.items()) if updates else "NOTHING"
+    return f"INSERT INTO {table} ({names}) SELECT DISTINCT {names} FROM {staging} ON CONFLICT ({', '.join(keys)}) DO {action}"
 
 
 def replace_sql(table: str, columns: Sequence[str], staging: str) -> list[str]:
@@ -86,8 +100,7 @@ def publish_statements(table: str, columns: Sequence[str], staging: str, mode: s
     if mode == "overwrite":
         return replace_sql(full, columns, staging)
     if mode == "upsert":
-        rows = f"SELECT DISTINCT {', '.join(columns)} FROM {staging}"
-        return [upsert_sql(full, columns, known.key, rows, known.loaded_at)]
+        return [upsert_sql(full, columns, known.key, staging, known.loaded_at)]
     raise ValueError(f"unknown mode {mode!r}; use upsert or overwrite")
 
 
@@ -177,7 +190,7 @@ def publish(
     spark = df.sparkSession
     run = run or database.run
     rows = stage(serving_rows(df, table), "serving")
-    broken = constraint_faults(rows, table).where("violations > 0").collect()
+    broken = precision_faults(df, table).unionByName(constraint_faults(rows, table)).where("violations > 0").collect()
     if broken:
         raise ValueError(f"{table}: " + "; ".join(f"{r.constraint}: {r.violations} violations" for r in broken))
     known = serving_table(table)
@@ -198,12 +211,15 @@ def _create_types(known: ServingTable, columns: Sequence[str]) -> str:
 
 
 def dry_run(df: DataFrame, table: str, schema: str = "public") -> DataFrame:
-    """``table, row_count, columns, statement``: what a publish would do, without a connection."""
-    known = serving_table(table)
-    names = [c.lower() for c in df.columns]
+    """``table, row_count, columns, statement``: what a publish would do, without a connection.
+
+    The statement is the one publish runs, with ``<table>_staging`` for its staging table.
+    """
+    rows = serving_rows(df, table)
+    statements = publish_statements(table, rows.columns, f"{schema}.{table}_staging", "upsert", schema)
     return df.agg(
         F.lit(table).alias("table"),
         F.count(F.lit(1)).alias("row_count"),
         F.lit(", ".join(f"{n.lower()} {t}" for n, t in df.dtypes)).alias("columns"),
-        F.lit(upsert_sql(f"{schema}.{table}", names, known.key)).alias("statement"),
+        F.lit("; ".join(statements)).alias("statement"),
     )

@@ -133,6 +133,7 @@ def merge_into_path(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     newer_than: str | None = None,
+    evolve: bool = False,
     fmt: str = "parquet",
 ) -> int:
     """Upsert ``source`` into the table at ``path`` (created if missing); returns the rows written.
@@ -140,7 +141,8 @@ def merge_into_path(
     A partitioned table is rewritten only where it has to be: in the partitions the source adds to
     and those that hold a matching key, since a row may move to another partition. A partition left
     without rows is removed, because a dynamic overwrite does not touch what it gets no rows for.
-    Source keys must be unique and not NULL. A format with row-level operations of its own does the
+    Source keys must be unique and not NULL. Source columns that the table lacks are an error; ``evolve`` adds them
+    to an unpartitioned table. A format with row-level operations of its own does the
     merge itself.
     """
     spark = source.sparkSession
@@ -160,7 +162,7 @@ def merge_into_path(
     types = [source.schema[f.name] if f.name in partition_by else f for f in target.schema]
     target = spark.read.format(fmt).schema(T.StructType(types)).load(path)
     if not partition_by:
-        return overwrite(merge_rows(target, source, keys, newer_than), path, (), fmt)
+        return overwrite(merge_rows(target, source, keys, newer_than, evolve), path, (), fmt)
 
     # One row per partition folder, a list the driver keeps for every scan of the table anyway. Only keys
     # and partition columns are read, and the semi join lets Spark drop other keys before the shuffle.

@@ -6,11 +6,10 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..runtime import MB, hadoop_path
-
-WHOLE_FILE = 256 * MB
+from ..runtime import hadoop_path
 
 
 def _name_below(spark: SparkSession, root: str, path: Column) -> Column:
@@ -22,44 +21,52 @@ def _name_below(spark: SparkSession, root: str, path: Column) -> Column:
     return F.substr(path, F.lit(len(fs.makeQualified(jpath).toString()) + 2))
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv", whole_file: int = WHOLE_FILE) -> DataFrame:
-    """``file_name, length, method, digest`` of the files below ``path``, named relative to it.
+def _digests(lines: DataFrame) -> DataFrame:
+    """``path, method, digest`` of text files, built by as many tasks as Spark cuts them into.
 
-    Files up to ``whole_file`` bytes get the MD5 of their content. A larger one would have to pass
-    through one task in one piece, so it gets a digest that many tasks build together: number of
-    lines and the sum of the line hashes (method ``lines``). Both filters reach the file listing,
-    so no file is read twice.
+    A line counts by its hash times its number in the file, so swapped lines show. Within a block lines are
+    numbered by the task that reads it; the lines of the blocks before it are added afterwards, block by block:
+    sum(h * (n + before)) = sum(h * n) + before * sum(h). All sums are kept modulo a 31-bit prime, once for each
+    half of the hash, so nothing overflows.
     """
-    small = (
-        spark.read.format("binaryFile")
-        .options(pathGlobFilter=glob, recursiveFileLookup=True)
-        .load(path)
-        .where(F.col("length") <= whole_file)
-        .select("path", "length", F.lit("md5").alias("method"), F.md5("content").alias("digest"))
-    )
-    line_hash = F.xxhash64("value")
-    half = F.lit(1 << 32).cast("long")
-    large = (
-        spark.read.options(pathGlobFilter=glob, recursiveFileLookup=True)
-        .text(path)
-        .where(F.col("_metadata.file_size") > whole_file)
-        .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            # two halves: a plain BIGINT sum of 64-bit hashes overflows
-            F.sum(F.shiftright(line_hash, 32)).alias("high"),
-            F.sum(F.pmod(line_hash, half)).alias("low"),
-        )
-        .select(
-            # a URI, other than the plain path of the small files; "+" is no blank in it
-            F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"),
-            "length",
-            F.lit("lines").alias("method"),
-            F.concat_ws(":", "lines", "high", "low").alias("digest"),
-        )
+    prime = F.lit(2_147_483_647).cast("long")
+    hashed, place = F.xxhash64("value"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    halves = {"a": F.pmod(hashed, prime), "b": F.pmod(F.shiftrightunsigned(hashed, 31), prime)}
+    rows = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), place.alias("n"),
+        *[h.alias(k) for k, h in halves.items()],
+    )
+    sums = [F.sum(k).alias(f"sum_{k}") for k in halves] + [F.sum(F.col(k) * F.pmod("n", prime) % prime).alias(f"by_{k}") for k in halves]
+    blocks = rows.groupBy("path", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("n").alias("first"), *sums)
+    before = F.coalesce(F.sum("lines").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    moved = blocks.withColumn("shift", F.pmod(before - F.col("first"), prime))
+    whole = [F.pmod(F.sum((F.col(f"by_{k}") + F.col("shift") * (F.col(f"sum_{k}") % prime)) % prime), prime).cast("string") for k in halves]
+    return moved.groupBy("path").agg(F.concat_ws(":", F.sum("lines").cast("string"), *whole).alias("digest")).select(
+        # a URI, other than the plain path of a listing; "+" is no blank in it
+        F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"), F.lit("lines").alias("method"), "digest"
     )
+
+
+def file_manifest(spark: SparkSession, path: str, glob: str = "*.csv", method: str = "lines") -> DataFrame:
+    """``file_name, length, method, digest`` of the files below ``path``, named relative to it.
+
+    Files of any size are treated alike. ``lines`` (text files) reads them in parts by many tasks: number
+    of lines and a digest of each line at its place; only ``\\n`` ends a line, so other changed bytes show, and
+    the length tells whether the last line is ended. Spark's scans
+    leave out files without any byte. ``md5`` is the usual digest; one task takes a file as a
+    whole, so it is meant for files well below a task's memory.
+    """
+    if method not in ("lines", "md5"):
+        raise ValueError(f"unknown method {method!r}; use lines or md5")
+    options = {"pathGlobFilter": glob, "recursiveFileLookup": True}
+    listed = spark.read.format("binaryFile").options(**options).load(path)
     name = _name_below(spark, path, F.col("path")).alias("file_name")
-    return small.unionByName(large).select(name, "length", "method", "digest")
+    if method == "md5":
+        return listed.select(name, "length", F.lit("md5").alias("method"), F.md5("content").alias("digest"))
+    found = _digests(spark.read.options(**options).option("lineSep", "\n").text(path))
+    return listed.select("path", "length").join(found.select(F.col("path").alias("read_path"), "digest"), F.col("path") == F.col("read_path"), "left").select(
+        name, "length", F.lit("lines").alias("method"), F.coalesce("digest", F.lit("0:0:0")).alias("digest")
+    )
 
 
 def compare_manifests(before: DataFrame, after: DataFrame, key: str = "file_name") -> DataFrame:
@@ -78,7 +85,7 @@ def compare_manifests(before: DataFrame, after: DataFrame, key: str = "file_name
 def table_metrics(spark: SparkSession, tables: Mapping[tuple[str, str], str], fmt: str = "parquet") -> DataFrame:
     """``layer, table, files, bytes, rows`` of each ``(layer, name): path``.
 
-    Rows are counted per file from footers alone (no column is read), then added up.
+    No column is read: the scan gives empty rows, which are counted per file and then added up.
     """
     result = None
     for (layer, name), path in tables.items():

@@ -31,12 +31,12 @@ def mart(spark, *days, total=10):
 
 
 def test_upsert_statement():
-    sql = upsert_sql("public.t", ["a", "b", "c"], ["a", "b"])
+    sql = upsert_sql("public.t", ["a", "b", "c"], ["a", "b"], "s")
     assert sql == (
-        "INSERT INTO public.t (a, b, c) VALUES %s ON CONFLICT (a, b) "
+        "INSERT INTO public.t (a, b, c) SELECT DISTINCT a, b, c FROM s ON CONFLICT (a, b) "
         "DO UPDATE SET c = EXCLUDED.c, _postgres_loaded_at = CURRENT_TIMESTAMP"
     )
-    assert upsert_sql("public.t", ["a"], ["a"]).endswith("ON CONFLICT (a) DO NOTHING")
+    assert upsert_sql("public.t", ["a"], ["a"], "s").endswith("ON CONFLICT (a) DO NOTHING")
 
 
 def test_keys_and_unknown_names():

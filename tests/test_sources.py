@@ -95,27 +95,32 @@ def test_manifest_matches_hashlib_and_finds_changes(spark, tmp_path):
     (after / "big.csv").write_text("id\n" + "\n".join(str(i) for i in range(999)) + "\n998")
     (before / "gone.csv").write_text("a\n")
     (after / "new.csv").write_text("b\n")
-    rows = {r.file_name: r for r in file_manifest(spark, str(before), whole_file=100).collect()}
-    assert set(rows) == {"same.csv", "big.csv", "gone.csv"}
-    assert rows["same.csv"].digest == hashlib.md5((before / "same.csv").read_bytes()).hexdigest()
+    (before / "swap.csv").write_text("a\nb\nc\n")
+    (after / "swap.csv").write_text("b\na\nc\n")
+    (before / "end.csv").write_text("a\nb\nc\n")
+    (after / "end.csv").write_text("a\rb\nc\n")
+    rows = {r.file_name: r for r in file_manifest(spark, str(before)).collect()}
+    assert set(rows) == {"same.csv", "big.csv", "gone.csv", "swap.csv", "end.csv"}
     assert rows["big.csv"].method == "lines" and rows["big.csv"].digest.startswith("1001:")
-    for limit in (100, 10**6):
-        status = compare_manifests(file_manifest(spark, str(before), whole_file=limit), file_manifest(spark, str(after), whole_file=limit))
-        assert {r.file_name: r.status for r in status.collect()} == {
-            "same.csv": "ok", "big.csv": "changed", "gone.csv": "missing", "new.csv": "unexpected",
+    for method in ("lines", "md5"):
+        mine, theirs = [file_manifest(spark, str(f), method=method) for f in (before, after)]
+        assert {r.file_name: r.status for r in compare_manifests(mine, theirs).collect()} == {
+            "same.csv": "ok", "big.csv": "changed", "gone.csv": "missing", "new.csv": "unexpected", "swap.csv": "changed",
+            "end.csv": "changed",
         }
+    assert mine.where("file_name = 'same.csv'").first().digest == hashlib.md5((before / "same.csv").read_bytes()).hexdigest()
     counts = file_counts(spark, str(before)).first()
-    assert counts.files == 3 and counts.folder.endswith("/before")
+    assert counts.files == 5 and counts.folder.endswith("/before")
 
 
 def test_manifest_names_files_relative_to_the_folder(spark, tmp_path):
     for day in ("d 1", "d+2"):
         (tmp_path / "in" / day).mkdir(parents=True)
         (tmp_path / "in" / day / "part.csv").write_text(f"id\n{day}\n")
-    for limit in (0, 100):
-        names = [r.file_name for r in file_manifest(spark, str(tmp_path / "in"), whole_file=limit).collect()]
+    for method in ("lines", "md5"):
+        names = [r.file_name for r in file_manifest(spark, str(tmp_path / "in"), method=method).collect()]
         assert sorted(names) == ["d 1/part.csv", "d+2/part.csv"]
-        assert sorted(r.file_name for r in file_manifest(spark, f"{tmp_path}/in/*", whole_file=limit).collect()) == sorted(names)
+        assert sorted(r.file_name for r in file_manifest(spark, f"{tmp_path}/in/*", method=method).collect()) == sorted(names)
 
 
 def test_table_metrics(spark, tmp_path):
@@ -151,3 +156,17 @@ def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert runtime.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert runtime.scratch_path(spark, "x") != runtime.scratch_path(spark, "x")
+
+
+def test_line_digest_does_not_depend_on_the_splits(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("\n".join(f"line {i * 7919 % 1000}" for i in range(20_000)))
+    whole = file_manifest(spark, str(tmp_path)).first().digest
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, 4096)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert file_manifest(spark, str(tmp_path)).first().digest == whole
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

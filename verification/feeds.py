@@ -7,13 +7,16 @@ Values are varied by the key; no row is left out.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestrata.plans import orders, trips
-from lakestrata.runtime import input_bytes, prepare, scratch_path, size_shuffles, spread
+from lakestrata.runtime import prepare, scratch_path, size_shuffles
 
 # Every order delivered in a first file, and every order again in a second one with a purchase time an
-# hour earlier, equal or an hour later.
+# hour earlier, equal or an hour later; a seventh of them under a new id.
 ORDERS_RAW = """
 SELECT
   CASE WHEN k % 97 = 0 THEN NULL WHEN k % 89 = 0 THEN '   ' ELSE ' ORD-' || CAST(k AS STRING) || ' ' END AS order_id,
@@ -31,7 +34,7 @@ FROM (
   SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, o_orderdate AS bought, 'day1.csv' AS delivery
   FROM {orders}
   UNION ALL
-  SELECT o_orderkey, o_custkey,
+  SELECT CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END, o_custkey,
     CASE WHEN o_orderkey % 5 = 0 THEN 'F' ELSE o_orderstatus END,
     o_orderdate + (o_orderkey % 3 - 1) * INTERVAL 1 HOUR, 'day2.csv'
   FROM {orders}
@@ -81,11 +84,14 @@ _TABLES = {"orders": ORDERS_RAW, "lineitem": TRIPS_RAW, "events": SALES_RAW}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; shuffles are sized for it first."""
+    """A given table; shuffles are sized for it first. A local session without a shared folder gets one."""
     path = f"{sf_dir}/{name}.parquet"
+    context = spark.sparkContext
+    if context.master.startswith("local") and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-"))
     prepare(spark)
     size_shuffles(spark, [path])
-    return spread(spark.read.parquet(path), input_bytes(spark, [path]))
+    return spark.read.parquet(path)
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,3 +142,30 @@ def land_sales(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "sales-json")
     raw(spark, sf_dir, "events").write.json(path)
     return path
+
+
+# The days of the events and what happens to each between two landings.
+EVENT_DAYS = """
+SELECT CAST(ts AS DATE) AS d, count(*) AS n, CASE CAST(day(CAST(ts AS DATE)) AS INTEGER) % 6
+    WHEN 0 THEN 'missing' WHEN 1 THEN 'unexpected' WHEN 2 THEN 'altered' WHEN 3 THEN 'swapped' ELSE 'ok' END AS fate
+FROM {events} GROUP BY CAST(ts AS DATE)
+"""
+
+
+def land_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Two landings of all events, a file per day; the second lacks days, has new ones, altered values, swapped lines."""
+    events = table(spark, sf_dir, "events")
+    days = spark.sql(EVENT_DAYS, events=events)
+    rows = events.withColumn("d", events["ts"].cast("date")).join(days, "d")
+    roots = []
+    for second in (False, True):
+        order = F.when((F.col("fate") == "swapped") & F.lit(second), -F.col("event_id")).otherwise(F.col("event_id"))
+        changed = F.when((F.col("fate") == "altered") & F.lit(second), F.lit("altered")).otherwise(F.col("event_type"))
+        line = F.concat_ws(",", F.col("event_id"), F.col("ts").cast("string"), "user_id", changed, "value", "props")
+        there = rows.where(F.col("fate") != ("missing" if second else "unexpected"))
+        root = scratch_path(spark, "events-csv")
+        there.select("d", order.alias("o"), line.alias("line")).repartition("d").sortWithinPartitions("d", "o").select("d", "line").write.partitionBy(
+            "d"
+        ).text(root)
+        roots.append(root)
+    return roots[0], roots[1]

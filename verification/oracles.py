@@ -6,7 +6,7 @@ from lakestrata.plans.orders import RAW_COLUMNS, TIMES
 from lakestrata.plans.trips import DOUBLES, INTEGERS
 from lakestrata.plans.trips import RAW_COLUMNS as TRIP_COLUMNS
 
-from .feeds import raw_sql
+from .feeds import EVENT_DAYS, raw_sql
 
 
 def half_up(units: str, parts: str, digits: int) -> str:
@@ -126,8 +126,8 @@ def merged(first: str, second: str) -> str:
       UNION ALL BY NAME SELECT * FROM {second} s2"""
 
 
-_FIRST = clean_orders(f"(SELECT * FROM {VALID_ORDERS} a WHERE _source_file = 'day1.csv' AND order_estimated_delivery_date < '1999-01-01')")
-_SECOND = clean_orders(f"(SELECT * FROM {VALID_ORDERS} a WHERE _source_file = 'day2.csv' AND order_estimated_delivery_date >= '1997-01-01')")
+_FIRST = clean_orders(f"(SELECT * FROM {VALID_ORDERS} a WHERE _source_file = 'day1.csv')")
+_SECOND = clean_orders(f"(SELECT * FROM {VALID_ORDERS} a WHERE _source_file = 'day2.csv')")
 _MERGED = merged(_FIRST, _SECOND)
 
 
@@ -202,7 +202,9 @@ _DRY_COLUMNS = (
 )
 _DRY_STATEMENT = (
     "INSERT INTO public.gold_daily_orders_summary (order_date, order_status, total_orders, unique_customers, "
-    "avg_delivery_days, delivered_orders, cancelled_orders, report_year, report_month, _gold_calculated_at) VALUES %s "
+    "avg_delivery_days, delivered_orders, cancelled_orders, report_year, report_month, _gold_calculated_at) SELECT DISTINCT "
+    "order_date, order_status, total_orders, unique_customers, avg_delivery_days, delivered_orders, cancelled_orders, "
+    "report_year, report_month, _gold_calculated_at FROM public.gold_daily_orders_summary_staging "
     "ON CONFLICT (order_date, order_status) DO UPDATE SET total_orders = EXCLUDED.total_orders, "
     "unique_customers = EXCLUDED.unique_customers, avg_delivery_days = EXCLUDED.avg_delivery_days, "
     "delivered_orders = EXCLUDED.delivered_orders, cancelled_orders = EXCLUDED.cancelled_orders, "
@@ -231,6 +233,10 @@ ORACLES: dict[str, str] = {
     "mart_preview_json": f"""SELECT '{{"order_date":"' || CAST(order_date AS VARCHAR) || '","order_status":"' || order_status
       || '","total_orders":' || CAST(total_orders AS VARCHAR) || ',"report_year":' || CAST(report_year AS VARCHAR) || '}}' AS record
       FROM {DAILY_ORDERS} m ORDER BY order_date, order_status LIMIT 100""",
+    "file_manifest_check": f"""SELECT CASE WHEN fate = 'altered' OR fate = 'swapped' AND n > 1 THEN 'changed'
+        WHEN fate IN ('missing', 'unexpected') THEN fate ELSE 'ok' END AS status, count(*) AS files,
+        CAST(min(d) AS STRING) AS first_day, CAST(max(d) AS STRING) AS last_day
+      FROM ({EVENT_DAYS.format(events="events")}) x GROUP BY 1""",
     "landed_lines": "SELECT 'lines' AS method, CAST(2 * count(*) AS BIGINT) AS line_count FROM orders",
     "layer_metrics": f"""SELECT 'silver' AS layer, 'orders' AS "table", count(*) AS "rows", true AS has_files, true AS has_bytes
       FROM {SILVER_ORDERS} s UNION ALL

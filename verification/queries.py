@@ -29,11 +29,11 @@ from lakestrata.sinks.tables import (
     stage,
     write_clustered,
 )
-from lakestrata.sources.manifest import file_manifest, table_metrics
+from lakestrata.sources.manifest import compare_manifests, file_manifest, table_metrics
 from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents
 from lakestrata.sources.tables import Lake, preview, read_table, since
 
-from .feeds import land_orders, land_sales, land_trips, raw, table
+from .feeds import land_events, land_orders, land_sales, land_trips, raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,16 +155,19 @@ def mart_preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def file_manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed files against a second look at them."""
-    path = land_orders(spark, sf_dir)
-    status = stages.check_landing(spark, path, path).groupBy("status")
-    return status.agg(F.count(F.lit(1)).alias("files"))
+    """Two landings of the events compared day by day: same, altered or swapped lines, days left out and added."""
+    before, after = [
+        file_manifest(spark, root, "*.txt").withColumn("day", F.regexp_extract("file_name", r"d=([^/]+)/", 1))
+        for root in land_events(spark, sf_dir)
+    ]
+    status = compare_manifests(before, after, key="day")
+    return status.groupBy("status").agg(F.count(F.lit(1)).alias("files"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 @query
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line digests of the landed files: total number of lines without the headers."""
-    manifest = file_manifest(spark, land_orders(spark, sf_dir), whole_file=0)
+    manifest = file_manifest(spark, land_orders(spark, sf_dir))
     lines = F.split("digest", ":")[0].cast("long") - 1
     return manifest.groupBy("method").agg(F.sum(lines).alias("line_count"))
 
@@ -288,12 +291,9 @@ def distinct_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """First delivery up to 1998, second one from 1997 on, both cleaned."""
+    """Both deliveries whole, cleaned: the second one has known ids and new ones, and lacks some of the first."""
     valid = valid_orders(spark, sf_dir)
-    due = F.col("order_estimated_delivery_date")
-    first = valid.where((F.col(SOURCE) == "day1.csv") & (due < "1999-01-01"))
-    second = valid.where((F.col(SOURCE) == "day2.csv") & (due >= "1997-01-01"))
-    return orders.clean(first), orders.clean(second)
+    return tuple(orders.clean(valid.where(F.col(SOURCE) == day)) for day in ("day1.csv", "day2.csv"))
 
 
 @query
