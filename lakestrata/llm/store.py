@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
 def ready(spark: SparkSession) -> None:
-    """``spark.checkpoint.dir`` is used as it is set; only a local session without it (tests) gets a folder of its own.
+    """Session settings the operators rely on.
 
-    The workers of a local session also learn where this package lies; on a cluster it is installed or shipped
-    (``--py-files``) like any other.
+    Whole texts go to Python in batches of a thousand rows: ten times as many, the usual number, take hundreds of
+    MB beside the heap. ``spark.checkpoint.dir`` is used as it is set; only a local session without it (tests) gets
+    a folder of its own. The workers of a local session also learn where this package lies; on a cluster it
+    is installed or shipped (``--py-files``) like any other.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if not context.master.startswith("local"):
         return
@@ -33,19 +33,11 @@ def ready(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: the lineage ends here.
-
-    Rows may hold two whole texts, so they go to Python in batches of a thousand while this is written.
-    """
+    """Write rows to the shared folder and read them back: the lineage ends here."""
     spark = df.sparkSession
     ready(spark)
     path = scratch_path(spark, name)
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, "1000")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_BATCH, before)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
