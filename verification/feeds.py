@@ -83,12 +83,16 @@ FROM {events}
 _TABLES = {"orders": ORDERS_RAW, "lineitem": TRIPS_RAW, "events": SALES_RAW}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; shuffles are sized for it first. A local session without a shared folder gets one."""
-    path = f"{sf_dir}/{name}.parquet"
+def local_folder(spark: SparkSession) -> None:
+    """A local session without a shared folder gets one."""
     context = spark.sparkContext
     if context.master.startswith("local") and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-"))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; shuffles are sized for it first."""
+    path = f"{sf_dir}/{name}.parquet"
     prepare(spark)
     size_shuffles(spark, [path])
     return spark.read.parquet(path)

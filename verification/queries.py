@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from lakestrata.sources.manifest import compare_manifests, file_manifest, table_
 from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents
 from lakestrata.sources.tables import Lake, preview, read_table, since
 
-from .feeds import land_events, land_orders, land_sales, land_trips, raw, table
+from .feeds import land_events, land_orders, land_sales, land_trips, local_folder, raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +42,13 @@ _CLOCK = ("_ingested_at", "_quarantined_at", "_gold_calculated_at", "_silver_pro
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        local_folder(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def plain(df: DataFrame) -> DataFrame:
