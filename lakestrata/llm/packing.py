@@ -107,7 +107,7 @@ def pack(
     capacity: int = 4096,
     end_id: int = 2,
     block: int = 200_000,
-    cached: int = 400_000,
+    cached: int = 150_000,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece of a document.
 

@@ -151,7 +151,7 @@ def count_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     limit: int = 2048,
-    cached: int = 400_000,
+    cached: int = 150_000,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row: the count the library gives for the whole text.
 
