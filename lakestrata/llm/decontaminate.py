@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .store import HashFilter, saved
 from .words import WordHashes, combined
+from .workers import tidy
 
 # 1: the token counts, 0: it may be any token
 MASKS = ("11011001011011", "11101011001101", "10110110111001", "11001110101011")
@@ -51,7 +52,7 @@ def _items(masks: Sequence[str]):
             if columns:
                 yield pa.RecordBatch.from_arrays(columns, ["item_id", "span", "seed", "item_at", "item_tokens"])
 
-    return run
+    return tidy(run)
 
 
 def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
@@ -80,7 +81,7 @@ def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
                     ["doc_id", "seeds", "places", "doc_tokens"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def best_segment(match: np.ndarray, penalty: int) -> tuple[int, int, int]:
@@ -111,7 +112,7 @@ def _overlaps(min_match: int, penalty: int):
                     ["doc_id", "item_id", "doc_start", "item_start", "n_tokens", "n_same", "coverage"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def contaminated(

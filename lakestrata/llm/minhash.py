@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .graph import components
 from .store import rows_with, saved
 from .words import WordHashes, ascii_words, fold, shingles
+from .workers import tidy
 
 ROWS = 8
 BANDS = 64
@@ -68,7 +69,7 @@ def _sketch(size: int, rows: int, bands: int):
                 ["id", "n", "digest", "bands"],
             )
 
-    return run
+    return tidy(run)
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -93,7 +94,7 @@ def _similar(size: int, percent: int):
                 keep.append(100 * shared >= percent * (len(first) + len(second) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return tidy(run)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -148,7 +149,7 @@ def _linked_groups(size: int, percent: int):
             columns = list(zip(*out, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    return run
+    return tidy(run)
 
 
 def links_across(rest: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import Ids, table
+from .workers import tidy
 
 
 class OpenWindows:
@@ -95,7 +96,7 @@ def _packed(path: str, capacity: int, end_id: int, block: int, cached: int):
         if rows:
             yield emit(rows, sequence)[0]
 
-    return run
+    return tidy(run, keeps=True)
 
 
 def pack(

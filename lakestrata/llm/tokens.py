@@ -13,13 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workers import kept, tidy
+
 # one task is one core
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _TOP = 0x300
 
 
-@cache
 def _library(path: str):
     from tokenizers import Tokenizer
 
@@ -133,15 +134,9 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True) if len(e.ids) == 1)
 
 
-_tables: dict[tuple, _Chunks] = {}
-
-
-def table(kind: Callable[..., _Chunks], path: str, limit: int, *more) -> _Chunks:
-    """The worker's table, kept from task to task."""
-    key = (kind, path, limit)
-    if key not in _tables:
-        _tables[key] = kind(path, limit, *more)
-    return _tables[key]
+def table(kind: type[_Chunks], path: str, limit: int, *more: Callable[[], object]) -> _Chunks:
+    """The worker's table, kept from task to task. ``more`` is called only when the table is made."""
+    return kept((kind.__name__, path, limit), lambda: kind(path, limit, *(m() for m in more)))
 
 
 def count_tokens(
@@ -168,11 +163,11 @@ def count_tokens(
         counts = None
         for batch in batches:
             if counts is None:
-                counts = _tables.get((Counts, path, cached)) or table(Counts, path, cached, whole_tokens(path))
+                counts = table(Counts, path, cached, lambda: whole_tokens(path))
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = pa.array(list(counts.of(texts)), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), n], ["doc_id", "n_bytes", "n_tokens"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return read.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return read.mapInArrow(tidy(run, keeps=True), "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

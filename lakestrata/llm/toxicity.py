@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import saved
+from .workers import tidy
 
 # fixed values: words of address in the languages of the corpus
 SECOND_PERSON = frozenset(
@@ -120,13 +121,12 @@ class Features(dict):
 
 
 def _featured(lexicon):
-    @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features(lexicon.value)
         for texts in batches:
             yield pd.Series([features.of(t or "") for t in texts])
 
-    return run
+    return F.pandas_udf(tidy(run), "array<double>")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,7 @@ def learn_lexicon(labelled: DataFrame, size: int, least: int) -> dict[str, float
     times as frequent there; at most ``size`` keys come to the driver.
     """
     n, toxic = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
-    counts = labelled.select("text", "label").mapInArrow(_counted, "key string, toxic long, n long").groupBy("key")
+    counts = labelled.select("text", "label").mapInArrow(tidy(_counted), "key string, toxic long, n long").groupBy("key")
     odds = F.log(((F.col("toxic") + 0.5) / (toxic + 1.0)) / ((F.col("n") - F.col("toxic") + 0.5) / (n - toxic + 1.0)))
     rows = (
         counts.agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
