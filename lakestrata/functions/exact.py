@@ -2,14 +2,17 @@
 
 A distributed ``sum(double)`` changes its last digits with the order in which partitions
 arrive, so a rounded money total can flip by a cent between two runs. Here every value is
-turned into whole millionths first and those integers are added. The integer sum is kept in
-two BIGINT halves (the low 24 bits and the rest), which cannot overflow below 2**39 rows per
-group and stays in generated code; DECIMAL sums of the same values measured 6 to 13 times
-slower than the two halves. Totals up to 2.8e11 are then rounded half-up in whole numbers; a larger total is
-rounded from the nearest double.
-
-Values beyond +-9e11, infinities and NaN do not fit and are added as doubles beside the
-integers, so a group that holds one gives what a plain double sum gives.
+turned into whole millionths and, below them, whole millionths of a millionth; these integers
+are added and rounded half-up once per group, by one rule for totals of any size.
+
+Per row everything stays BIGINT, in generated code: the millionths are added in three limbs of
+21 bits, which cannot overflow below 2**34 rows per group. Finished groups are put together as
+DECIMAL. A double is read as the number it is written as: one division shows whether six digits
+after the point say it all, and only other values take the slower way through DECIMAL, which
+rounds to twelve digits.
+
+Infinities and NaN decide the result of their group as they do in a plain sum. A finite value of
+9e12 or more is an error that names the column.
 """
 
 from __future__ import annotations
@@ -20,50 +23,67 @@ from pyspark.sql import functions as F
 from .casts import as_column
 
 UNIT_DIGITS = 6
-_FITS = 9e11
-_LOW_BITS = 24
-_HIGH_BITS = 34
+REST_DIGITS = 6
+_FITS = 9e12
+_LIMB_BITS = 21
+
+
+def _whole(number: int) -> Column:
+    return F.lit(str(number)).cast(f"decimal({len(str(number))},0)")
 
 
-def _fits(x: Column) -> Column:
-    return F.abs(x) < F.lit(_FITS)
+def _parts(x: Column, name: str) -> tuple[Column, Column]:
+    """Whole millionths of a value and the millionths of a millionth beside them; NULL unless it is finite."""
+    size = F.abs(x)
+    refused = F.raise_error(F.lit(f"{name}: a value of {_FITS:g} or more cannot be added exactly")).cast("double")
+    scaled = F.when(size < F.lit(_FITS), x * F.lit(10.0**UNIT_DIGITS)).when(size < F.lit(float("inf")), refused)
+    units = F.rint(scaled)
+    written = x.cast("decimal(31,12)") - units.cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    rest = F.when(units / F.lit(10.0**UNIT_DIGITS) == x, F.lit(0).cast("long")).when(
+        units.isNotNull(), (written * _whole(10 ** (UNIT_DIGITS + REST_DIGITS))).cast("long")
+    )
+    return units.cast("long"), rest
 
 
-def _units(x: Column) -> Column:
-    return F.when(_fits(x), F.rint(x * F.lit(10.0**UNIT_DIGITS))).cast("long")
+def _half_up(units: Column, rest: Column, parts: Column, digits: int) -> Column:
+    """``(units + rest millionths) / parts`` (DECIMAL whole numbers) rounded half-up to ``digits``."""
+    total = (units * _whole(10**REST_DIGITS) + rest).cast("decimal(38,0)")
+    step = (parts.cast("decimal(20,0)") * _whole(10 ** (UNIT_DIGITS + REST_DIGITS - digits))).cast("decimal(37,0)")
+    double = (F.abs(total) * 2 + step).cast("decimal(38,0)")
+    size = ((double - double % (step * 2)) / (step * 2)).cast("double") / F.lit(float(10**digits))
+    return F.when(total < 0, -size).otherwise(size)
 
 
-def _half_up(units: Column, parts: Column, digits: int) -> Column:
-    """``units / parts`` (both BIGINT) rounded half-up to ``digits``, in whole-number arithmetic."""
-    step = parts * F.lit(10 ** (UNIT_DIGITS - digits)).cast("long")
-    size = F.call_function("div", F.abs(units) * 2 + step, step * 2)
-    return F.when(units < 0, -size).otherwise(size) / F.lit(float(10**digits))
+def _combine(x: Column, name: str, parts: Column, digits: int) -> Column:
+    units, rest = _parts(x, name)
+    mask = F.lit((1 << _LIMB_BITS) - 1).cast("long")
+    limbs = [units.bitwiseAND(mask), F.shiftright(units, _LIMB_BITS).bitwiseAND(mask), F.shiftright(units, 2 * _LIMB_BITS)]
+    low, middle, high = [F.sum(limb).cast("decimal(19,0)") for limb in limbs]
+    total = high * _whole(1 << 2 * _LIMB_BITS) + middle * _whole(1 << _LIMB_BITS) + low
+    # sums of infinities and NaN alone, so their order does not matter either
+    odd = F.sum(F.when(~(F.abs(x) < F.lit(float("inf"))), x))
+    return F.coalesce(odd, _half_up(total, F.sum(rest).cast("decimal(19,0)"), parts, digits))
 
 
-def _combine(x: Column, parts: Column, digits: int) -> Column:
-    units = _units(x)
-    high = F.sum(F.shiftright(units, _LOW_BITS))
-    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("long")))
-    rest = F.sum(F.when(~_fits(x), x))
-    exact = _half_up(high * F.lit(1 << _LOW_BITS).cast("long") + low, parts, digits)
-    total = (high.cast("double") * F.lit(float(1 << _LOW_BITS)) + low) / F.lit(10.0**UNIT_DIGITS)
-    nearest = F.round(F.coalesce(total + rest, total, rest) / parts, digits)
-    return F.when(rest.isNull() & (F.abs(high) < F.lit(1 << _HIGH_BITS)), exact).otherwise(nearest)
+def _named(x: Column | str) -> tuple[Column, str]:
+    return as_column(x).cast("double"), x if isinstance(x, str) else str(x)
 
 
 def sum_rounded(x: Column | str, digits: int = 2) -> Column:
     """Exact sum rounded to ``digits``; NULL when every value is NULL."""
-    return _combine(as_column(x).cast("double"), F.lit(1).cast("long"), digits)
+    value, name = _named(x)
+    return _combine(value, name, F.lit(1), digits)
 
 
 def avg_rounded(x: Column | str, digits: int = 2) -> Column:
     """Exact mean of the non-NULL values rounded to ``digits``; NULL when there is none."""
-    x = as_column(x).cast("double")
-    return _combine(x, F.count(x), digits)
+    value, name = _named(x)
+    return _combine(value, name, F.greatest(F.count(value), F.lit(1)), digits)
 
 
 def round_half_up(x: Column | str, digits: int) -> Column:
     """Row-wise rounding with the same rule as the aggregates."""
-    x = as_column(x).cast("double")
-    exact = _half_up(_units(x), F.lit(1).cast("long"), digits)
-    return F.when(F.abs(x) < F.lit(2.8e11), exact).otherwise(F.round(x, digits))
+    value, name = _named(x)
+    units, rest = _parts(value, name)
+    exact = _half_up(units.cast("decimal(19,0)"), rest.cast("decimal(19,0)"), F.lit(1), digits)
+    return F.coalesce(F.when(~(F.abs(value) < F.lit(float("inf"))), value), exact)

@@ -89,7 +89,22 @@ def test_exact_sum_of_odd_values(spark):
     assert result([float("inf"), 1.0]) == (float("inf"), float("inf"))
     assert all(v != v for v in result([float("nan"), 1.0]))
     assert result([5e12, 5e12]) == (1e13, 5e12)
-    assert result([1e13, 2.0]) == (1e13 + 2, 5e12 + 1)
+    with pytest.raises(Exception, match="x: a value of 9e"):
+        result([1e13, 2.0])
+
+
+def test_exact_sum_of_small_and_of_many_large_values(spark):
+    rows = spark.range(1_000_000)
+    assert rows.agg(sum_rounded(F.lit(4e-7) + F.col("id") * 0)).first()[0] == 0.4
+    # 2e8 rows of 8.9e11: no limb overflows
+    many = spark.range(200_000_000).select((F.lit(8.9e11) + F.col("id") * 0).alias("x"))
+    assert many.agg(sum_rounded("x"), avg_rounded("x")).first() == (1.78e20, 8.9e11)
+
+
+@pytest.mark.parametrize("base", [0.0, 1e2, 1e6, 1e9])
+def test_one_rounding_rule_at_every_size(spark, base):
+    df = spark.createDataFrame([(base + 0.25,), (base + 0.5,)], "x double")
+    assert df.agg(avg_rounded("x", 2), avg_rounded(-F.col("x"), 2)).first() == (base + 0.38, -(base + 0.38))
 
 
 @pytest.mark.parametrize(("x", "digits", "expected"), [(4.25, 1, 4.3), (-4.25, 1, -4.3), (4.35, 1, 4.4), (None, 1, None), (7.0, 0, 7.0)])

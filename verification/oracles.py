@@ -9,23 +9,28 @@ from lakestrata.plans.trips import RAW_COLUMNS as TRIP_COLUMNS
 from .feeds import EVENT_DAYS, raw_sql
 
 
-def half_up(units: str, parts: str, digits: int) -> str:
-    """``units / parts`` (units of one millionth) rounded half-up, in whole-number arithmetic."""
-    step = 10 ** (6 - digits)
-    size = f"((2 * abs({units}) + ({parts}) * {step}) // (2 * ({parts}) * {step}))"
-    return f"CASE WHEN ({parts}) > 0 THEN sign({units}) * CAST({size} AS DOUBLE) / {10**digits} END"
+DECIMAL = "DECIMAL(38, 12)"
 
 
-def units(x: str) -> str:
-    return f"CAST(round(({x}) * 1000000) AS BIGINT)"
+def half_up(total: str, parts: str, digits: int) -> str:
+    """``total / parts`` (a DECIMAL of 12 digits and a whole number) rounded half-up, in whole-number arithmetic."""
+    step = 10 ** (12 - digits)
+    whole = f"CAST(({total}) * {10**12} AS HUGEINT)"
+    size = f"((2 * abs({whole}) + ({parts}) * {step}) // (2 * ({parts}) * {step}))"
+    return f"CASE WHEN ({parts}) > 0 THEN sign({whole}) * CAST({size} AS DOUBLE) / {10**digits} END"
+
+
+def decimal(x: str) -> str:
+    """The number as it is written, so no unit of the package's own is used."""
+    return f"CAST(CAST({x} AS VARCHAR) AS {DECIMAL})"
 
 
 def sum2(x: str) -> str:
-    return half_up(f"sum({units(x)})", "CAST(1 AS HUGEINT)", 2)
+    return half_up(f"sum({decimal(x)})", "CAST(1 AS HUGEINT)", 2)
 
 
 def avg2(x: str) -> str:
-    return half_up(f"sum({units(x)})", f"CAST(count({x}) AS HUGEINT)", 2)
+    return half_up(f"sum({decimal(x)})", f"CAST(count({x}) AS HUGEINT)", 2)
 
 
 def nulls_last(columns) -> str:
@@ -297,7 +302,7 @@ ORACLES: dict[str, str] = {
     "payment_distribution": f"""SELECT CASE WHEN payment_type = 1 THEN 'Credit Card' ELSE 'Cash' END AS label,
       CAST(sum(total_trips) AS BIGINT) AS total FROM {DAILY_ZONES} m GROUP BY 1""",
     "delivery_report": f"""SELECT order_date, order_status, total_orders, unique_customers,
-      {half_up(units("avg_delivery_days"), "1", 1)} AS avg_delivery_days, delivered_orders
+      {half_up(decimal("avg_delivery_days"), "CAST(1 AS HUGEINT)", 1)} AS avg_delivery_days, delivered_orders
       FROM {DAILY_ORDERS} m WHERE order_date >= DATE '1998-01-01'""",
     "high_value_customers": f"SELECT * FROM {CUSTOMER_VALUE} c WHERE total_lifetime_spend > 200",
     "record_search": f"SELECT * FROM {DAILY_ORDERS} m WHERE {_SEARCH}",
