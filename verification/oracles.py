@@ -248,14 +248,12 @@ ORACLES: dict[str, str] = {
       SELECT 'gold', 'gold_daily_orders_summary', count(*), true, true FROM {DAILY_ORDERS} m""",
     "quarantine_valid": f"SELECT * FROM {VALID_ORDERS} v",
     "quarantine_bad": f"SELECT * FROM {raw_sql('orders')} r WHERE {BAD}",
-    "required_columns_split": f"""SELECT order_id, customer_id, _source_file,
-      CASE WHEN {BAD} OR customer_id IS NULL THEN 'bad' ELSE 'valid' END AS side FROM {raw_sql("orders")} r""",
+    "required_columns_split": f"""SELECT *, CASE WHEN {BAD} OR customer_id IS NULL THEN 'bad' ELSE 'valid' END AS side FROM {raw_sql("orders")} r""",
     "orders_typed": f"SELECT * FROM {typed_orders()} t",
     "sales_clean": f"SELECT {_SALES_OUT} FROM {SILVER_SALES} s",
     "trips_clean": f"""SELECT *, CAST(year(pickup_datetime) AS INTEGER) AS pickup_year,
       CAST(month(pickup_datetime) AS INTEGER) AS pickup_month FROM {DISTINCT_TRIPS} t""",
-    "trips_rejects": f"""SELECT VendorID, PULocationID, pickup_datetime, fare_amount, total_amount,
-      concat_ws(', ', {_REASONS}) AS reasons FROM {TYPED_TRIPS} t
+    "trips_rejects": f"""SELECT *, concat_ws(', ', {_REASONS}) AS reasons FROM {TYPED_TRIPS} t
       WHERE NOT coalesce(fare_amount >= 0 AND total_amount >= 0 AND trip_distance >= 0 AND pickup_datetime IS NOT NULL, false)""",
     "trips_rejects_by_reason": " UNION ALL ".join(
         f"SELECT '{name}' AS reason, count(*) AS row_count FROM {TYPED_TRIPS} t WHERE {rule} HAVING count(*) > 0"

@@ -208,9 +208,8 @@ def quarantine_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 def required_columns_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides of the split that also requires a customer; together they are the input."""
     valid, bad = split_invalid(raw(spark, sf_dir, "orders"), orders.KEY, ["customer_id"])
-    columns = ["order_id", "customer_id", SOURCE]
-    good = valid.select(*columns, F.lit("valid").alias("side"))
-    return good.unionByName(bad.select(*columns, F.lit("bad").alias("side")))
+    sides = valid.withColumn("side", F.lit("valid")).unionByName(bad.withColumn("side", F.lit("bad")), allowMissingColumns=True)
+    return plain(sides)
 
 
 @query
@@ -233,7 +232,7 @@ def trips_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected trips with their reasons."""
     out = rejects(typed_trips(spark, sf_dir), trips.LOWER_BOUNDS, trips.SET_COLUMNS)
     reasons = F.concat_ws(", ", "_reasons").alias("reasons")
-    return plain(out.select("VendorID", "PULocationID", "pickup_datetime", "fare_amount", "total_amount", reasons))
+    return plain(out.withColumn("reasons", reasons).drop("_reasons"))
 
 
 @query
