@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,52 +11,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import HashFilter, saved
-from .words import WordHashes, combined
+from .words import WordHashes
 from .workers import tidy
 
-# 1: the token counts, 0: it may be any token
-MASKS = ("11011001011011", "11101011001101", "10110110111001", "11001110101011")
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 FILTER_BITS = 1 << 24
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 def tokens(text: str) -> list[bytes]:
     return _TOKEN.findall(text.lower().encode())
 
 
-def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
-    """The hash of the tokens a mask looks at, for each place it fits."""
-    count = len(hashes) - len(mask) + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    places = [i for i, c in enumerate(mask) if c == "1"]
-    return combined([hashes[i : i + count] for i in places], seed=int(mask, 2))
+def covering(penalty: int, min_match: int) -> list[str]:
+    """Masks (1: the token counts, 0: it may be any token) of which one fits in every stretch that is accepted.
+
+    A best stretch with x substitutions has runs r0 .. rx of equal tokens. No part at its start scores below 0, so
+    r0 + .. + r(x-1) >= penalty * x; none scores as much as the whole, so r1 + .. + rx > penalty * x. Both sums
+    together are those of the x pairs of adjacent runs, so one pair has 2 * penalty + 1 equal tokens or more, with one
+    token between. Without a substitution it is a run of ``min_match``.
+    """
+    n = min(min_match, 2 * penalty + 1)
+    return ["1" * n, *("1" * i + "0" + "1" * (n - i) for i in range(1, n))]
 
 
-def _item_masks(n: int, masks: Sequence[str]) -> list[str]:
-    """The masks an item of ``n`` tokens is looked for with; a short one by all its tokens."""
-    return list(masks) if n >= max(map(len, masks)) else ["1" * n]
+def seeds(hashes: np.ndarray, masks: Iterable[str]) -> list[np.ndarray]:
+    """For each mask the hash of the tokens it looks at, at each place it fits: a sum with odd factors.
 
+    The sum over all tokens of a span is made once; a mask takes off what it does not look at.
+    """
+    masks, factor = list(masks), _FACTOR
+    products, sums = [], [np.zeros(len(hashes), np.uint64)]
+    for i in range(min(max(map(len, masks)), len(hashes))):
+        products.append(hashes[i:] * np.uint64(factor))
+        sums.append(sums[-1][: len(products[-1])] + products[-1])
+        factor = factor * 0xD1342543DE82EF95 % 2**64
+    out = []
+    for mask in masks:
+        count = len(hashes) - len(mask) + 1
+        total = sums[len(mask)] if count > 0 else sums[0][:0]
+        for i, c in enumerate(mask):
+            if c == "0" and count > 0:
+                total = total - products[i][:count]
+        out.append(total)
+    return out
+
+
+def _items(masks: Sequence[str], least: int):
+    """``short`` is the length of an item of fewer than ``least`` tokens, which is looked for by all of them."""
 
-def _items(masks: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = words.of(tokens(text or ""))
-                for mask in _item_masks(len(hashes), masks) if len(hashes) else ():
-                    found = seeds(hashes, mask).view(np.int64)
-                    out += [(item, len(mask), k, i, hashes.tobytes() if not i else None) for i, k in enumerate(found.tolist())]
+                short = len(hashes) if len(hashes) < least else None
+                for found in seeds(hashes, masks if short is None else ["1" * short]) if len(hashes) else ():
+                    out += [(item, short, k, i, hashes.tobytes() if not i else None) for i, k in enumerate(found.view(np.int64).tolist())]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)] if out else None
             if columns:
-                yield pa.RecordBatch.from_arrays(columns, ["item_id", "span", "seed", "item_at", "item_tokens"])
+                yield pa.RecordBatch.from_arrays(columns, ["item_id", "short", "seed", "item_at", "item_tokens"])
 
     return tidy(run)
 
 
 def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
-    looks = [*masks, *("1" * n for n in short)]
+    looks = dict.fromkeys([*masks, *("1" * n for n in short)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -66,8 +87,7 @@ def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 hashes = words.of(tokens(text.as_py() or ""))
                 found, places = [], []
-                for mask in looks:
-                    own = seeds(hashes, mask)
+                for own in seeds(hashes, looks):
                     hit = known.held(own)
                     found.append(own[hit])
                     places.append(hit)
@@ -123,7 +143,7 @@ def contaminated(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    masks: Sequence[str] = MASKS,
+    masks: Sequence[str] | None = None,
     min_match: int = 13,
     penalty: int = 3,
 ) -> DataFrame:
@@ -131,9 +151,12 @@ def contaminated(
 
     Tokens are runs of letters and digits in lower case. Each mask hashes the tokens it looks at, at every
     place of every item and document; equal hashes are joined, and each hit is verified on its diagonal:
-    the stretch with most ``matches - penalty * mismatches`` must hold ``min_match`` equal tokens, so a
-    substitution in up to every fourth token is tolerated. Items of fewer tokens than ``min_match`` must occur
-    whole and word for word; items shorter than the masks are looked for by all their tokens.
+    the stretch with most ``matches - penalty * mismatches`` must hold ``min_match`` equal tokens. With the masks
+    of ``covering`` (the default) the result is that of comparing all diagonals of all pairs: a run of
+    ``min_match`` equal tokens is always found, and so is a passage with every fifth token replaced or fewer, once
+    13 tokens are left in the stretch. With every fourth replaced no stretch scores more than three tokens, so only what
+    else is equal counts. Items of fewer tokens than ``min_match`` (or than the longest of other ``masks``) are looked
+    for by all their tokens: those of fewer than ``min_match`` must occur whole and word for word.
 
     A bit table of fixed size (2 MB) of the benchmark's hashes goes to all tasks and drops the places
     without a partner; the join by hash that follows is a plain one, so a benchmark of any size gives
@@ -143,12 +166,14 @@ def contaminated(
     overlap of any of them is reported once. Overlaps of a row with NULL id are reported with NULL.
     Other columns are not read. An empty table on either side gives an empty result.
     """
+    masks = list(masks or covering(penalty, min_match))
+    least = max(min_match, *map(len, masks))
     item_rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     tests = saved(
-        item_rows.mapInArrow(_items(masks), "item_id long, span int, seed long, item_at long, item_tokens binary"), "tests"
+        item_rows.mapInArrow(_items(masks, least), "item_id long, short int, seed long, item_at long, item_tokens binary"), "tests"
     )
-    # the short lengths are at most as many as a mask is long
-    short = sorted(r.span for r in tests.where(F.col("span") < min(map(len, masks))).select("span").distinct().collect())
+    # fewer lengths than ``least``
+    short = sorted(r.short for r in tests.where("short IS NOT NULL").select("short").distinct().collect())
     known = HashFilter(tests.select("seed"), FILTER_BITS)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = saved(

@@ -45,15 +45,6 @@ def fold(columns: list[np.ndarray], seed: int = 0) -> np.ndarray:
     return total
 
 
-def combined(columns: list[np.ndarray], seed: int = 0) -> np.ndarray:
-    """One 64-bit hash per row of columns that hold hashes already: a sum with odd factors, mixed once."""
-    factor, total = int(_GOLDEN), np.full(len(columns[0]), seed, np.uint64)
-    for column in columns:
-        total += column * np.uint64(factor)
-        factor = factor * 0xD1342543DE82EF95 % 2**64
-    return mixed(total)
-
-
 def ascii_words(text: str) -> list[bytes]:
     """Words between blanks and control blanks (20, 09-0D hex), A-Z in lower case."""
     return text.encode().lower().split()

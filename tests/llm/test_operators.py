@@ -184,6 +184,49 @@ def test_contaminated_documents(spark):
     assert decontaminate.contaminated(docs_of(spark, texts), items.limit(0)).count() == 0
 
 
+def plain_overlaps(texts, items, min_match=13, penalty=3):
+    """The most equal tokens of each pair, by all diagonals."""
+    found = {}
+    for (d, text), (i, item) in itertools.product(enumerate(texts), items):
+        own, test = np.array(decontaminate.tokens(text)), np.array(decontaminate.tokens(item))
+        for shift in range(1 - len(test), len(own)):
+            low, high = max(0, -shift), min(len(test), len(own) - shift)
+            same = decontaminate.best_segment(test[low:high] == own[low + shift : high + shift], penalty)[2]
+            if same >= min(min_match, len(test)):
+                found[d, i] = max(same, found.get((d, i), 0))
+    return found
+
+
+@pytest.mark.parametrize("length", [13, 14, 60, 200])
+def test_contaminated_equals_all_diagonals(spark, length):
+    rng = random.Random(length)
+    item = [f"quiz{i}" for i in range(length)]
+    texts = []
+    for period in range(4, 16):
+        for first in {0, period // 2, period - 1}:
+            texts.append([f"x{i}" if i % period == first else w for i, w in enumerate(item)])
+    texts += [item[i : i + 13] for i in range(0, length - 12, 5)] + [item[:12], item[-13:]]
+    # dense and uneven substitutions, two in a row as well
+    for share in (0.1, 0.15, 0.2, 0.22):
+        texts += [[w if rng.random() > share else f"x{i}" for i, w in enumerate(item)] for _ in range(8)]
+    texts = [" ".join(["a", *t, "b", "c"]) for t in texts]
+    items = [(1, " ".join(item)), (2, "seven words are looked for as one"), (3, "x y")]
+    texts += ["here seven words are looked for as one item", "seven words are looked for as", "x, Y"]
+    plain = plain_overlaps(texts, items)
+    assert length < 60 or (1, 1) not in plain and (3, 1) in plain
+    got = decontaminate.contaminated(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.n_same for r in got} == plain
+
+
+@pytest.mark.parametrize(("penalty", "min_match"), [(1, 2), (1, 6), (2, 5), (3, 13), (3, 4)])
+def test_covering_masks_fit_every_accepted_stretch(penalty, min_match):
+    masks = decontaminate.covering(penalty, min_match)
+    for bits in range(1 << 16):
+        line = f"{bits:016b}"
+        if decontaminate.best_segment(np.array([c == "1" for c in line]), penalty)[2] >= min_match:
+            assert any(bits >> i & int(m, 2) == int(m, 2) for m in masks for i in range(17 - len(m)))
+
+
 def test_chats_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\b <|im_end|>\n", "<|im_start|>user\nx<|im_end|>\n", "<|im_sep|>", "\\", "<\\|", "[\\INST]", "<s", "", None, "\n\n", "\u00e4\U0001f600"]
     rng = random.Random(4)
