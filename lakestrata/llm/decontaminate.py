@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -14,13 +15,37 @@ from .store import HashFilter, saved
 from .words import WordHashes
 from .workers import tidy
 
-_TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
+# scripts without blanks between words: Thai, Lao, Tibetan, Myanmar, Khmer and others, kana, Han
+_UNSPACED = (
+    "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\ua9e0-\ua9ff\uaa60-\uaadf"
+    "\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035\u3038-\u303c\u3041-\u30ff\u3100-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua48f\uf900-\ufaff\uff66-\uff9f\U00016fe0-\U00018dff\U0001aff0-\U0001b2ff\U00020000-\U0003ffff"
+)
+
+
+def _marks() -> str:
+    """Combining marks, as the inside of a character class: they belong to the letter before them."""
+    points = [i for i in range(0x300, 0xE01F0) if (i < 0x20000 or i >= 0xE0100) and unicodedata.category(chr(i))[0] == "M"]
+    starts = [i for i, before in zip(points, [-1, *points], strict=False) if i != before + 1]
+    ends = [i for i, after in zip(points, [*points[1:], -1], strict=True) if i + 1 != after]
+    return "".join(f"{chr(a)}-{chr(z)}" for a, z in zip(starts, ends, strict=True))
+
+
+_MARK = _marks()
+_TOKEN = re.compile(rf"(?:[^\W_{_UNSPACED}{_MARK}]+[{_MARK}]*)+|[^\W_{_MARK}][{_MARK}]*")
+# in such texts the letters are known by their bytes: ASCII and Latin letters
+_LATIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]*")
+_LATIN_TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 FILTER_BITS = 1 << 24
 _FACTOR = 0x9E3779B97F4A7C15
 
 
 def tokens(text: str) -> list[bytes]:
-    return _TOKEN.findall(text.lower().encode())
+    """Runs of letters and digits in lower case, each with its combining marks; in scripts without blanks each letter."""
+    text = text.lower()
+    if _LATIN.fullmatch(text):
+        return _LATIN_TOKEN.findall(text.encode())
+    return [t.encode() for t in _TOKEN.findall(text)]
 
 
 def covering(penalty: int, min_match: int) -> list[str]:
@@ -149,7 +174,8 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, doc_start, item_start, n_tokens, n_same, coverage`` of each overlap, best per pair.
 
-    Tokens are runs of letters and digits in lower case. Each mask hashes the tokens it looks at, at every
+    Tokens are runs of letters and digits in lower case, whatever blanks, quotes or dashes are around them; in scripts
+    that put no blanks between words (Han, kana, Thai, ...) each letter is a token. Each mask hashes the tokens it looks at, at every
     place of every item and document; equal hashes are joined, and each hit is verified on its diagonal:
     the stretch with most ``matches - penalty * mismatches`` must hold ``min_match`` equal tokens. With the masks
     of ``covering`` (the default) the result is that of comparing all diagonals of all pairs: a run of

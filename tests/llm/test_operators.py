@@ -227,6 +227,30 @@ def test_covering_masks_fit_every_accepted_stretch(penalty, min_match):
             assert any(bits >> i & int(m, 2) == int(m, 2) for m in masks for i in range(17 - len(m)))
 
 
+def test_tokens_of_other_scripts():
+    assert decontaminate.tokens("this\u00a0is \u201cA\u201d test\u2014x\u2026y_z \u2018q\u2019") == [w.encode() for w in "this is a test x y z q".split()]
+    assert decontaminate.tokens("Stra\u00dfe \u00c9t\u00e9, 7\u00d78 cafe\u0301\u3002\ud55c\uad6d\uc5b4") == [w.encode() for w in ("stra\u00dfe", "\u00e9t\u00e9", "7", "8", "cafe\u0301", "\ud55c\uad6d\uc5b4")]
+    assert decontaminate.tokens("\u4f60\u597d\uff0cabc\u4e16\u754c\u3002\u30ab\u3099") == [w.encode() for w in ("\u4f60", "\u597d", "abc", "\u4e16", "\u754c", "\u30ab\u3099")]
+    assert decontaminate.tokens("\u0939\u093f\u0928\u094d\u0926\u0940 \u0e01\u0e33") == ["\u0939\u093f\u0928\u094d\u0926\u0940".encode(), "\u0e01".encode(), "\u0e33".encode()]
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choices("aB9_ .\u00e9\u0130\u0141\u00d8\u010d\n-", k=40))
+        assert decontaminate.tokens(text) == [t.encode() for t in decontaminate._TOKEN.findall(text.lower())]
+
+
+def test_contaminated_by_typographic_and_cjk_passages(spark):
+    words = PASSAGE.split()
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(30))
+    around = "".join(chr(0x5E00 + 41 * i) for i in range(60))
+    texts = [
+        f"intro\u2014{'\u00a0'.join(words)}\u2026", " ".join(f"\u201c{w}\u201d" for w in words), "\u2014".join(words),
+        f"{around}\u3002{han[:15]}\u3001{han[15:]}\u300d{around}", around,
+    ]
+    items = spark.createDataFrame([(1, PASSAGE), (2, han)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_same for r in decontaminate.contaminated(docs_of(spark, texts), items).collect()}
+    assert got == {(0, 1): 40, (1, 1): 40, (2, 1): 40, (3, 2): 30}
+
+
 def test_chats_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\b <|im_end|>\n", "<|im_start|>user\nx<|im_end|>\n", "<|im_sep|>", "\\", "<\\|", "[\\INST]", "<s", "", None, "\n\n", "\u00e4\U0001f600"]
     rng = random.Random(4)
