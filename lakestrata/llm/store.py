@@ -41,6 +41,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, written with a long of their own in a further column, and the name of that column."""
+    key, taken = "row_key", {c.lower() for c in df.columns}
+    while key in taken:
+        key += "_"
+    return saved(df.select("*", F.monotonically_increasing_id().alias(key)), name), key
+
+
 class HashFilter:
     """A bit table of fixed size that tells for a 64-bit hash whether it may be among those given (three bits each).
 
@@ -87,15 +95,22 @@ def _maybe(ids: DataFrame, id_column: Column, bits: int = 1 << 26) -> Column:
     return found(F.xxhash64(id_column)) & id_column.isNotNull()
 
 
+def _as_id(df: DataFrame, id_col: str, ids: DataFrame) -> Column:
+    """The id column in the type of ``ids``; what cannot be read as such is NULL."""
+    return df[id_col].try_cast(ids.schema[0].dataType)
+
+
 def rows_with(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """The rows whose id is among ``ids`` (one column). Only rows that pass the filter are shuffled."""
     wanted = ids.select(F.col(ids.columns[0]).alias("wanted_id")).distinct()
-    return df.where(_maybe(wanted, df[id_col])).join(wanted, df[id_col] == wanted["wanted_id"], "left_semi")
+    own = _as_id(df, id_col, wanted)
+    return df.where(_maybe(wanted, own)).join(wanted, own == wanted["wanted_id"], "left_semi")
 
 
 def rows_without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """The rows whose id is not among ``ids`` (one column), those with NULL id included. Rows that the filter
     rules out are taken as they are; only the others are shuffled."""
     gone = ids.select(F.col(ids.columns[0]).alias("gone_id")).distinct()
-    maybe = _maybe(gone, df[id_col])
-    return df.where(~maybe).unionByName(df.where(maybe).join(gone, df[id_col] == gone["gone_id"], "left_anti"))
+    own = _as_id(df, id_col, gone)
+    maybe = _maybe(gone, own)
+    return df.where(~maybe).unionByName(df.where(maybe).join(gone, own == gone["gone_id"], "left_anti"))

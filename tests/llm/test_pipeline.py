@@ -45,6 +45,25 @@ def test_stages_take_effect(spark, tmp_path):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_rows_without_an_id_are_judged(spark, tmp_path, kind):
+    texts = {n: " ".join(f"{n}{i}" for i in range(60)) for n in ("clean", "other", "third", "copied", "lone")}
+    docs = [
+        (None, texts["clean"]), (None, f"{texts['other']} {PASSAGE}"), (None, texts["copied"]), (None, texts["copied"]), (9, texts["copied"]),
+        (7, texts["copied"]), (None, texts["lone"]), (None, texts["lone"]), (3, texts["third"]), (3, texts["other"]), (3, None), (4, f"{PASSAGE} x"),
+        (5, ""), (5, None), (None, ""), (None, None),
+    ]
+    sf_dir = folder_of(spark, tmp_path, [], [], [(1, PASSAGE)])
+    table = spark.createDataFrame([(i, t, "k") for i, t in docs], "doc_id long, text string, ROW_KEY string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    single = corpus_pipeline.drop_near_duplicates(spark, table, sf_dir)
+    clean = corpus_pipeline.drop_contaminated(spark, single, sf_dir)
+    assert single.schema == clean.schema == table.schema
+    rows = [(None if r.doc_id is None else int(r.doc_id), r.text or "") for r in clean.collect()]
+    left = [(None, texts["clean"]), (7, texts["copied"]), (None, texts["lone"]), (3, texts["third"]), (3, texts["other"]), (5, ""), (None, ""), (None, "")]
+    assert sorted(rows, key=str) == sorted(left, key=str)
+    assert {r.text for r in single.collect()} - {r.text for r in clean.collect()} - {None} == {docs[1][1], docs[11][1]}
+
+
 def test_no_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder_of(spark, tmp_path, [], [], [])).count() == 0
 
