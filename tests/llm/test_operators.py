@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import itertools
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -440,6 +441,20 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    rng = random.Random(3)
+    texts, expected = [], set()
+    for family, notice in licenses.NOTICES:
+        for width, mark in ((60, ""), (72, "// "), (80, " * "), (66, "# "), (40, "-- ")):
+            before, after = ([f"{mark}{' '.join(rng.choices([f'tok{i}' for i in range(200)], k=9))}" for _ in range(4)] for _ in range(2))
+            own = textwrap.wrap(notice, width, initial_indent=mark, subsequent_indent=mark, break_on_hyphens=False)
+            expected.add((len(texts), 4, family))
+            texts.append("\n".join([*before, *own, *after]))
+    filler = [" ".join(rng.choices([f"tok{i}" for i in range(200)], k=30)) for _ in range(300)]
+    got = licenses.scan_licenses(docs_of(spark, texts + filler)).where("confirmed").collect()
+    assert {(r.doc_id, r.paragraph_no, r.family) for r in got} == expected and len(got) == len(expected)
+
+
 def test_grams(spark):
     row = spark.range(1).select(licenses.grams(F.lit("The MIT License")).alias("g"), licenses.grams(F.lit("")).alias("e"), licenses.grams(F.lit("one")).alias("o")).first()
     assert (row.g, row.e, row.o) == (["the", "mit", "license", "the mit", "mit license"], [], ["one"])
