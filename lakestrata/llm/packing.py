@@ -84,7 +84,7 @@ def _packed(path: str, capacity: int, end_id: int, block: int, cached: int):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc, own in zip(batch.column(0).to_pylist(), ids.of(texts), strict=True):
-                own += end
+                own = own.astype("<u4").tobytes() + end
                 total = len(own) // 4
                 for start in range(0, total, capacity):
                     part = own[4 * start : 4 * (start + capacity)]
@@ -108,7 +108,7 @@ def pack(
     capacity: int = 4096,
     end_id: int = 2,
     block: int = 200_000,
-    cached: int = 150_000,
+    cached: int = 1_000_000,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece of a document.
 

@@ -54,7 +54,7 @@ def test_small_token_tables_give_the_same_counts(library):
     counts = tokens.Counts(VOCABULARY, 10, tokens.whole_tokens(VOCABULARY))
     for start in range(0, 200, 20):
         part = words_[start : start + 20]
-        assert list(counts.of(part)) == [len(library.encode(t, add_special_tokens=False).ids) for t in part]
+        assert [int(c.sum()) for c in counts.of(part)] == [len(library.encode(t, add_special_tokens=False).ids) for t in part]
 
 
 def test_packing_covers_every_id_once(spark, library):
