@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
-from . import chat, decontaminate, licenses, minhash, packing, tokens, topk, toxicity, urls, warc
+from . import chat, clusters, decontaminate, indexed, licenses, minhash, negatives, packing, tokens, topk, toxicity, urls, warc
 from .store import ready
 
 Query = Callable[[SparkSession, str], DataFrame]
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
 
@@ -83,6 +83,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.k_means(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "token-index")
+    indexed.write_index(docs, public_tokenizers.path(BYTE_VOCABULARY), folder)
+    return indexed.fetch(spark, folder, docs.select("doc_id"), nulls=True).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +110,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_packing, op3_license_scan, op4_exact_top_k, op5_minhash_dedup, op6_warc,
-        op7_chat_format, op8_token_counts, op9_toxicity, op10_decontamination, pipeline,
+        op7_chat_format, op8_token_counts, op9_toxicity, op10_decontamination, op11_hard_negatives,
+        op12_centroid_clusters, op13_token_index, pipeline,
     )
 }
 
@@ -165,6 +183,57 @@ FROM d
 """
 
 
+_OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, list_dot_product(a.x, d.x)::BIGINT AS score
+  FROM v a JOIN v d ON a.vec_id % 50 = 0 AND a.vec_id <> d.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def _op12(k: int = 8, rounds: int = 10) -> str:
+    """A table of component sums for each round; ``floor`` on exact DECIMALs, since whole-number division cuts towards zero."""
+    parts = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+), e AS MATERIALIZED (SELECT n, unnest(range(1, 65)) AS place, unnest(x) AS c FROM v
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS cluster, x FROM v QUALIFY cluster < {k}
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT n, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT n, cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{r} c
+  ) GROUP BY n
+)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT o.cluster, coalesce(m.x, o.x) AS x FROM c{r} o LEFT JOIN (
+    SELECT cluster, list(mean ORDER BY place) AS x FROM (
+      SELECT cluster, place, ((sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+      FROM e JOIN a{r} USING (n) GROUP BY cluster, place
+    ) GROUP BY cluster
+  ) m USING (cluster)
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, a.cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (n) JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
 def _escapes(text: str) -> str:
     """SQL for the number of backslashes that escaping adds to a text."""
     marks = ["\\", "<|", "<s>", "</s>", "[INST]", "[/INST]"]
@@ -193,4 +262,6 @@ ORACLES: dict[str, str] = {
     "op5_minhash_dedup": _OP5,
     "op6_warc": _OP6,
     "op7_chat_format": _OP7,
+    "op11_hard_negatives": _OP11,
+    "op12_centroid_clusters": _op12(),
 }
