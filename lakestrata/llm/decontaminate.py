@@ -8,10 +8,11 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import HashFilter, saved
+from .store import HashFilter, ready, saved
 from .words import WordHashes
 from .workers import tidy
 
@@ -36,7 +37,6 @@ _TOKEN = re.compile(rf"(?:[^\W_{_UNSPACED}{_MARK}]+[{_MARK}]*)+|[^\W_{_MARK}][{_
 # in such texts the letters are known by their bytes: ASCII and Latin letters
 _LATIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]*")
 _LATIN_TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
-FILTER_BITS = 1 << 24
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -82,21 +82,35 @@ def seeds(hashes: np.ndarray, masks: Iterable[str]) -> list[np.ndarray]:
     return out
 
 
+def _first_row() -> int:
+    """Rows are numbered within their task, so those with one id or none are told apart."""
+    return TaskContext.get().partitionId() << 40
+
+
+def _filter_bits(seeds: int) -> int:
+    """Bits of the table for so many seeds: sixteen or more for each (half a place in a hundred passes by chance), from 2 to 64 MB.
+
+    Beyond 32 million seeds the table stays at 64 MB and lets more places through to the join, which is exact.
+    """
+    return 1 << min(29, max(24, (16 * seeds - 1).bit_length() if seeds else 0))
+
+
 def _items(masks: Sequence[str], least: int):
     """``short`` is the length of an item of fewer than ``least`` tokens, which is looked for by all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        words, row = WordHashes(), _first_row()
         for batch in batches:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = words.of(tokens(text or ""))
                 short = len(hashes) if len(hashes) < least else None
                 for found in seeds(hashes, masks if short is None else ["1" * short]) if len(hashes) else ():
-                    out += [(item, short, k, i, hashes.tobytes() if not i else None) for i, k in enumerate(found.view(np.int64).tolist())]
-            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)] if out else None
+                    out += [(row, item, short, k, i, hashes.tobytes() if not i else None) for i, k in enumerate(found.view(np.int64).tolist())]
+                row += 1
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)] if out else None
             if columns:
-                yield pa.RecordBatch.from_arrays(columns, ["item_id", "short", "seed", "item_at", "item_tokens"])
+                yield pa.RecordBatch.from_arrays(columns, ["item_row", "item_id", "short", "seed", "item_at", "item_tokens"])
 
     return tidy(run)
 
@@ -105,8 +119,7 @@ def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
     looks = dict.fromkeys([*masks, *("1" * n for n in short)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-
+        words, row = WordHashes(), _first_row()
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -118,12 +131,13 @@ def _hits(masks: Sequence[str], short: Sequence[int], known: HashFilter):
                     places.append(hit)
                 found = np.concatenate(found)
                 if len(found):
-                    out.append((doc, found.view(np.int64), np.concatenate(places), hashes.tobytes()))
-            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                    out.append((row, doc, found.view(np.int64), np.concatenate(places), hashes.tobytes()))
+                row += 1
+            types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                    ["doc_id", "seeds", "places", "doc_tokens"],
+                    ["doc_row", "doc_id", "seeds", "places", "doc_tokens"],
                 )
 
     return tidy(run)
@@ -184,40 +198,40 @@ def contaminated(
     else is equal counts. Items of fewer tokens than ``min_match`` (or than the longest of other ``masks``) are looked
     for by all their tokens: those of fewer than ``min_match`` must occur whole and word for word.
 
-    A bit table of fixed size (2 MB) of the benchmark's hashes goes to all tasks and drops the places
+    A bit table of the benchmark's hashes (``_filter_bits``: 2 to 64 MB) goes to all tasks and drops the places
     without a partner; the join by hash that follows is a plain one, so a benchmark of any size gives
     the same rows. Documents without a hit are read once and never shuffled.
 
-    NULL and empty texts on either side match nothing. Rows that share an id are one document: an
-    overlap of any of them is reported once. Overlaps of a row with NULL id are reported with NULL.
+    NULL and empty texts on either side match nothing. Every row is compared by itself, so rows that share an id, or
+    have none, cost no more than others; of the overlaps of rows with one id the best is reported. Overlaps of a row with NULL id are reported with NULL.
     Other columns are not read. An empty table on either side gives an empty result.
     """
+    ready(docs.sparkSession)
     masks = list(masks or covering(penalty, min_match))
     least = max(min_match, *map(len, masks))
     item_rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     tests = saved(
-        item_rows.mapInArrow(_items(masks, least), "item_id long, short int, seed long, item_at long, item_tokens binary"), "tests"
+        item_rows.mapInArrow(_items(masks, least), "item_row long, item_id long, short int, seed long, item_at long, item_tokens binary"), "tests"
     )
     # fewer lengths than ``least``
     short = sorted(r.short for r in tests.where("short IS NOT NULL").select("short").distinct().collect())
-    known = HashFilter(tests.select("seed"), FILTER_BITS)
+    known = HashFilter(tests.select("seed"), _filter_bits(tests.count()))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = saved(
-        read.mapInArrow(_hits(masks, short, known), "doc_id long, seeds array<long>, places array<long>, doc_tokens binary"),
+        read.mapInArrow(_hits(masks, short, known), "doc_row long, doc_id long, seeds array<long>, places array<long>, doc_tokens binary"),
         "hits",
     )
-    places = hits.select("doc_id", F.explode(F.arrays_zip("seeds", "places")).alias("z"))
+    places = hits.select("doc_row", F.explode(F.arrays_zip("seeds", "places")).alias("z"))
     shifts = (
-        places.select("doc_id", F.col("z.seeds").alias("seed"), F.col("z.places").alias("at"))
-        .join(tests.select("seed", "item_id", "item_at"), "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        places.select("doc_row", F.col("z.seeds").alias("seed"), F.col("z.places").alias("at"))
+        .join(tests.select("seed", "item_row", "item_at"), "seed")
+        .select("doc_row", "item_row", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
-    own = hits.select(F.col("doc_id").alias("hit_id"), "doc_tokens")
-    items = tests.where("item_tokens IS NOT NULL").select(F.col("item_id").alias("test_id"), "item_tokens").distinct()
+    items = tests.where("item_tokens IS NOT NULL").dropDuplicates(["item_row"]).select("item_row", "item_id", "item_tokens")
     pairs = (
-        shifts.join(own, F.col("doc_id").eqNullSafe(F.col("hit_id")))
-        .join(items, F.col("item_id").eqNullSafe(F.col("test_id")))
+        shifts.join(hits.select("doc_row", "doc_id", "doc_tokens"), "doc_row")
+        .join(items, "item_row")
         .select("doc_id", "item_id", "shift", "doc_tokens", "item_tokens")
     )
     schema = "doc_id long, item_id long, doc_start long, item_start long, n_tokens long, n_same long, coverage double"

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -462,3 +463,29 @@ def test_grams(spark):
 
 def test_sha256_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+@pytest.mark.parametrize("doc", [None, 5])
+def test_rows_without_an_id_or_with_one_id_are_compared_one_by_one(spark, doc):
+    item = " ".join(f"item{i}" for i in range(30))
+    passage = " ".join(f"item{i}" for i in range(5, 25))
+    texts = [item, "short", passage, "before " * 50 + passage + " after" * 9, "", None, "item1 item2"]
+    docs = docs_of(spark, texts + ["other words"] * 3, [doc] * 10)
+    bench = spark.createDataFrame([(1, item), (1, "an item of the same id"), (None, passage), (None, "yes")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.doc_start, r.item_start, r.n_same, r.coverage) for r in decontaminate.contaminated(docs, bench).collect()}
+    # best of all rows of the id: the whole item, and the item without an id wherever it begins first
+    assert got == {(doc, 1): (0, 0, 30, 1.0), (doc, None): (0, 0, 20, 1.0)}
+
+
+def test_very_many_rows_of_one_id_make_no_pairs_of_rows(spark):
+    passage = " ".join(f"item{i}" for i in range(40))
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit(passage), F.col("id")).alias("text"))
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    start = time.monotonic()
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert [(r.doc_id, r.item_id, r.n_same) for r in got] == [(None, 1, 40)]
+    assert time.monotonic() - start < 60
+
+
+def test_table_of_seeds_grows_with_the_benchmark():
+    assert [decontaminate._filter_bits(n).bit_length() - 1 for n in (0, 1, 1 << 20, (1 << 20) + 1, 7_000_000, 1 << 40)] == [24, 24, 24, 25, 27, 29]
