@@ -2,7 +2,8 @@
 
 Each raw file is scanned once per output (quarantine, silver): at scale a second parse costs about as
 much as writing and reading back a parsed copy and needs no space. Both outputs come from one file
-listing, so they describe the same files.
+listing, so they describe the same files. A delivery that a stage has taken is noted in the lake's ledger, so
+running it again, or after a run that stopped half way, changes nothing.
 """
 
 from __future__ import annotations
@@ -12,11 +13,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.audit import with_ingest_audit
 from ..operators import marts
 from ..operators.split import split_invalid
 from ..runtime import prepare, size_shuffles
+from ..sinks.ledger import batch_id, done_counts, facts, note, replace_batch
 from ..sinks.serving import Database, publish
 from ..sinks.tables import append_evolving, append_quarantine, merge_into_path, overwrite, read_evolving, write_clustered
 from ..sources.manifest import compare_manifests, file_manifest
@@ -108,10 +111,13 @@ def bronze_to_silver(
     table: str | None = None,
     source_path: str | None = None,
     required: Sequence[str] = (),
+    again: bool = False,
 ) -> dict[str, int]:
     """Quarantine bad rows, clean the others, merge (keyed sets) or replace the silver table.
 
-    Returns ``{"quarantined": n, "silver": rows written}``.
+    Returns ``{"quarantined": n, "silver": rows written}``. The files that ``source_path`` holds are one batch. One that is done is
+    not taken again (``again`` does), and its counts are returned. A batch that was started only is run as a whole: its bad
+    rows take the place of those an earlier run wrote, and a merge or a replaced table gives the same rows anyhow.
     """
     table = table or {"ecommerce": "orders", "nyctaxi": "trips"}.get(dataset, "")
     if (dataset, table) not in RAW_SETS:
@@ -120,25 +126,49 @@ def bronze_to_silver(
     source_path = source_path or lake.path("bronze", plan.raw)
     prepare(spark)
     size_shuffles(spark, [source_path])
+    ledger, batch = lake.path("silver", "_ledger/batches"), batch_id(spark, source_path)
+    done = None if again else done_counts(spark, ledger, f"{dataset}/{table}", batch)
+    # a set that is replaced as a whole holds the last delivery only, so an earlier one is not skipped
+    if done and (plan.merge_keys or _last_batch(spark, ledger, f"{dataset}/{table}") == batch):
+        return done
+    note(spark, ledger, f"{dataset}/{table}", batch, "started", {"run": _runs_so_far(spark, ledger, f"{dataset}/{table}") + 1})
     raw = read_csv_permissive(spark, source_path, plan.schema, check_header=True)
     valid, bad = split_invalid(raw, plan.key, required)
-    quarantined = append_quarantine(bad, lake.path("silver", plan.quarantine), lake.fmt)
+    quarantine = lake.path("silver", plan.quarantine)
+    quarantined = replace_batch(bad, quarantine, batch) if lake.fmt == "parquet" else append_quarantine(bad, quarantine, lake.fmt)
     clean, path = plan.clean(valid), lake.path("silver", plan.silver)
     if plan.merge_keys and table_exists(spark, path, lake.fmt):
         rows = merge_into_path(clean, path, plan.merge_keys, plan.partition_by, fmt=lake.fmt)
     else:
         rows = overwrite(clean, path, plan.partition_by, lake.fmt)
-    return {"quarantined": quarantined, "silver": rows}
+    counts = {"quarantined": quarantined, "silver": rows}
+    note(spark, ledger, f"{dataset}/{table}", batch, "done", counts)
+    return counts
 
 
-def silver_to_gold(spark: SparkSession, lake: Lake, dataset: str = "ecommerce") -> dict[str, int]:
-    """Rebuild the marts of a data set (or ``all``), clustered; returns rows per mart."""
+def _runs_so_far(spark: SparkSession, ledger: str, dataset: str) -> int:
+    started = facts(spark, ledger).where((F.col("dataset") == dataset) & (F.col("state") == "started"))
+    return started.agg(F.max("row_count")).first()[0] or 0
+
+
+def _last_batch(spark: SparkSession, ledger: str, dataset: str) -> str | None:
+    """The batch of the run that was started last."""
+    started = facts(spark, ledger).where((F.col("dataset") == dataset) & (F.col("state") == "started"))
+    return started.agg(F.max_by("batch", "row_count")).first()[0]
+
+
+def silver_to_gold(spark: SparkSession, lake: Lake, dataset: str = "ecommerce", only: str | None = None) -> dict[str, int]:
+    """Rebuild the marts of a data set (or ``all``), or ``only`` one of them, clustered; returns rows per mart.
+
+    Shuffles are sized by the silver table.
+    """
     prepare(spark)
     wanted = datasets(dataset)
     written = {}
     for name, mart in MARTS.items():
-        if mart.dataset in wanted:
+        if mart.dataset in wanted and only in (None, name):
             silver = require_table(spark, lake.path("silver", mart.silver), lake.fmt)
+            size_shuffles(spark, [lake.path("silver", mart.silver)])
             written[name] = write_clustered(
                 mart.build(silver), lake.path("gold", name), mart.cluster_by, mart.partition_by, fmt=lake.fmt
             )
@@ -186,6 +216,7 @@ def sales_to_gold(
     failed publish is reported while the marts stay."""
     prepare(spark)
     table = require_table(spark, lake.path("silver", silver), lake.fmt)
+    size_shuffles(spark, [lake.path("silver", silver)])
     done: dict[str, object] = {}
     for name, build in SALES_MARTS.items():
         done[name] = overwrite(build(table), lake.path("gold", name), fmt=lake.fmt)
@@ -237,7 +268,9 @@ def run_all(
     for name in datasets(dataset):
         source = (sources or {}).get(name)
         timed("silver", lambda: {f"{name} {k}": n for k, n in bronze_to_silver(spark, lake, name, source_path=source).items()})
-    timed("gold", lambda: silver_to_gold(spark, lake, dataset))
+    for name, mart in MARTS.items():
+        if mart.dataset in datasets(dataset):
+            timed("gold", lambda: {name: silver_to_gold(spark, lake, dataset, only=name)[name]})
     for name, mart in MARTS.items():
         if mart.dataset in datasets(dataset):
             if database is None:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.plans import orders, trips
-from lakestrata.runtime import prepare, scratch_path, size_shuffles
+from lakestrata.runtime import hadoop_path, prepare, scratch_path, size_shuffles
 
 # Every order delivered in a first file, and every order again in a second one with a purchase time an
 # hour earlier, equal or an hour later; a seventh of them under a new id.
@@ -173,3 +173,31 @@ def land_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         ).text(root)
         roots.append(root)
     return roots[0], roots[1]
+
+
+def with_plain_names(spark: SparkSession, root: str, name: str = "events.txt") -> str:
+    """The one file of each folder below ``root`` gets the same name, as a daily delivery has."""
+    fs, folder = hadoop_path(spark, root)
+    for day in fs.listStatus(folder):
+        for file in fs.listStatus(day.getPath()) if day.isDirectory() else ():
+            if file.getPath().getName().startswith("part-"):
+                fs.rename(file.getPath(), hadoop_path(spark, f"{day.getPath().toString()}/{name}")[1])
+    return root
+
+
+# A document a day of events; every seventh day's document is cut off.
+DOCUMENT = "'day-' || strftime(ts, '%Y-%m-%d')"
+CUT_DAYS = 7
+
+
+def land_documents(spark: SparkSession, sf_dir: str) -> str:
+    """All events as multi-line JSON arrays, a file for each day; some files are cut off."""
+    events = table(spark, sf_dir, "events")
+    doc = F.concat(F.lit("day-"), F.date_format("ts", "yyyy-MM-dd"))
+    record = F.to_json(F.struct("event_id", "user_id", "event_type", "props"), {"ignoreNullFields": "false"})
+    lines = events.groupBy(doc.alias("doc"), F.dayofmonth("ts").alias("d")).agg(F.array_join(F.sort_array(F.collect_list(record)), ",\n ").alias("lines"))
+    whole = F.concat(F.lit("[\n "), "lines", F.lit("\n]"))
+    root = scratch_path(spark, "events-json")
+    text = F.when(F.col("d") % CUT_DAYS == 3, F.expr("substring(lines, 1, length(lines) - 1)")).otherwise(whole)
+    lines.select("doc", text.alias("text")).repartition("doc").write.partitionBy("doc").option("lineSep", "\n").text(root)
+    return root

@@ -6,7 +6,7 @@ from lakestrata.plans.orders import RAW_COLUMNS, TIMES
 from lakestrata.plans.trips import DOUBLES, INTEGERS
 from lakestrata.plans.trips import RAW_COLUMNS as TRIP_COLUMNS
 
-from .feeds import EVENT_DAYS, raw_sql
+from .feeds import CUT_DAYS, DOCUMENT, EVENT_DAYS, raw_sql
 
 
 DECIMAL = "DECIMAL(38, 12)"
@@ -283,14 +283,16 @@ ORACLES: dict[str, str] = {
       count(*) FILTER (WHERE status = 'completed') AS completed_orders,
       count(*) FILTER (WHERE status = 'cancelled') AS cancelled_orders FROM {SILVER_SALES} s GROUP BY 1""",
     "customer_value": f"SELECT * FROM {CUSTOMER_VALUE} c",
-    "orders_by_month_status": f"""SELECT order_year, order_month, order_status, count(order_id) AS order_count
-      FROM {SILVER_ORDERS} s GROUP BY ALL ORDER BY order_year DESC, order_month DESC""",
+    "orders_by_month_status": f"""SELECT order_year, order_month, order_status, count(order_id) AS order_count,
+      row_number() OVER (ORDER BY order_year DESC, order_month DESC, order_status NULLS LAST) AS position
+      FROM {SILVER_ORDERS} s GROUP BY order_year, order_month, order_status""",
     "monthly_trends": f"""SELECT report_year, report_month, CAST(sum(total_orders) AS BIGINT) AS monthly_orders,
       CAST(sum(delivered_orders) AS BIGINT) AS monthly_delivered, CAST(sum(cancelled_orders) AS BIGINT) AS monthly_cancelled,
-      {avg2("avg_delivery_days")} AS avg_delivery_time_days FROM {DAILY_ORDERS} m GROUP BY report_year, report_month""",
-    "zone_revenue": f"""SELECT PULocationID AS pulocationid, CAST(sum(total_trips) AS BIGINT) AS total_trips,
+      {avg2("avg_delivery_days")} AS avg_delivery_time_days,
+      row_number() OVER (ORDER BY report_year DESC, report_month DESC) AS position FROM {DAILY_ORDERS} m GROUP BY report_year, report_month""",
+    "zone_revenue": f"""SELECT *, row_number() OVER (ORDER BY total_zone_revenue DESC NULLS FIRST, pulocationid NULLS FIRST) AS position FROM (SELECT PULocationID AS pulocationid, CAST(sum(total_trips) AS BIGINT) AS total_trips,
       {sum2("total_revenue")} AS total_zone_revenue, {avg2("avg_fare_per_trip")} AS avg_zone_fare
-      FROM {DAILY_ZONES} m GROUP BY PULocationID""",
+      FROM {DAILY_ZONES} m GROUP BY PULocationID) z""",
     "top_zones": f"""SELECT PULocationID AS pickup_zone, CAST(sum(m.total_trips) AS BIGINT) AS total_trips,
       {sum2("m.total_revenue")} AS total_revenue, {avg2("avg_fare_per_trip")} AS avg_fare, {avg2("avg_tip_amount")} AS avg_tip
       FROM {DAILY_ZONES} m GROUP BY PULocationID
@@ -302,9 +304,11 @@ ORACLES: dict[str, str] = {
     "delivery_report": f"""SELECT order_date, order_status, total_orders, unique_customers,
       {half_up(decimal("avg_delivery_days"), "CAST(1 AS HUGEINT)", 1)} AS avg_delivery_days, delivered_orders
       FROM {DAILY_ORDERS} m WHERE order_date >= DATE '1998-01-01'""",
-    "high_value_customers": f"SELECT * FROM {CUSTOMER_VALUE} c WHERE total_lifetime_spend > 200",
+    "high_value_customers": f"""SELECT *, row_number() OVER (ORDER BY total_lifetime_spend DESC, customer_id NULLS LAST) AS position
+      FROM {CUSTOMER_VALUE} c WHERE total_lifetime_spend > 200""",
     "record_search": f"SELECT * FROM {DAILY_ORDERS} m WHERE {_SEARCH}",
-    "sorted_records": f"SELECT * FROM {DAILY_ORDERS} m ORDER BY total_orders DESC, order_date, order_status",
+    "sorted_records": f"""SELECT *, row_number() OVER (ORDER BY total_orders DESC, order_date, order_status NULLS LAST) AS position
+      FROM {DAILY_ORDERS} m""",
     "chart_orders": f"""SELECT CAST(order_date AS VARCHAR) AS label, total_orders AS volume,
       coalesce(nullif(avg_delivery_days, 0), 0) AS mean FROM {DAILY_ORDERS} m ORDER BY order_date, order_status LIMIT 15""",
     "chart_zones": f"""SELECT CAST(pickup_date AS VARCHAR) AS label, total_trips AS volume,
@@ -390,7 +394,15 @@ ORACLES: dict[str, str] = {
       GROUP BY pickup_date, pulocationid, payment_type HAVING count(*) > 1) k""",
     "publish_dry_run": f"""SELECT 'gold_daily_orders_summary' AS "table", count(*) AS row_count,
       '{_DRY_COLUMNS}' AS "columns", '{_DRY_STATEMENT}' AS statement FROM {DAILY_ORDERS} m""",
-    "orders_csv_to_gold": f"SELECT * FROM {DAILY_ORDERS} m",
+    "orders_csv_to_gold": f"""SELECT *, (SELECT count(*) FROM {raw_sql("orders")} r WHERE {BAD}) AS quarantined_rows FROM {DAILY_ORDERS} m""",
+    "json_documents_split": f"""SELECT 'row' AS kind, {DOCUMENT} AS doc, event_id, user_id, event_type, props, CAST(NULL AS BOOLEAN) AS has_text
+      FROM events WHERE day(ts) % {CUT_DAYS} <> 3
+      UNION ALL SELECT DISTINCT 'broken', {DOCUMENT}, NULL, NULL, NULL, NULL, true FROM events WHERE day(ts) % {CUT_DAYS} = 3""",
+    "dated_landing": f"""SELECT status, count(*) AS files, day FROM (
+        SELECT 1 AS day, 'new' AS status FROM ({EVENT_DAYS.format(events="events")}) d WHERE fate <> 'unexpected'
+        UNION ALL SELECT 2, CASE WHEN fate IN ('altered', 'swapped') THEN 'changed' WHEN fate = 'unexpected' THEN 'new' ELSE 'unchanged' END
+          FROM ({EVENT_DAYS.format(events="events")}) d WHERE fate <> 'missing'
+        UNION ALL SELECT 3, 'unchanged' FROM ({EVENT_DAYS.format(events="events")}) d WHERE fate <> 'missing') l GROUP BY day, status""",
     "trips_csv_to_gold": f"SELECT * FROM {DAILY_ZONES} m",
     "run_summary": f"""SELECT 'silver' AS stage, 'ecommerce quarantined' AS item, count(*) AS row_count, 'ok' AS status
       FROM {raw_sql("orders")} r WHERE {BAD}

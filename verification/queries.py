@@ -16,6 +16,7 @@ from lakestrata.functions.labels import code_label, iso_json
 from lakestrata.operators import contracts, marts, quality, views
 from lakestrata.operators.dedup import distinct_by, keep_first, latest_by
 from lakestrata.operators.merge import merge_rows
+from lakestrata.operators.order import numbered
 from lakestrata.operators.split import rejects, rejects_by_reason, split_invalid
 from lakestrata.plans import orders, sales, stages, trips
 from lakestrata.runtime import scratch_path
@@ -30,11 +31,12 @@ from lakestrata.sinks.tables import (
     stage,
     write_clustered,
 )
+from lakestrata.sources.landing import land
 from lakestrata.sources.manifest import compare_manifests, file_manifest, table_metrics
-from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents
+from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents, split_json_documents
 from lakestrata.sources.tables import Lake, preview, read_table, since
 
-from .feeds import land_events, land_orders, land_sales, land_trips, local_folder, raw, table
+from .feeds import land_documents, land_events, land_orders, land_sales, land_trips, local_folder, raw, table, with_plain_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,6 +126,27 @@ def json_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def json_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-line JSON documents of all events: the rows of those that parse, the names of those that do not."""
+    rows, broken = split_json_documents(spark, land_documents(spark, sf_dir), "event_id bigint, user_id bigint, event_type string, props string")
+    kind = F.lit("row").alias("kind")
+    bad = broken.select(F.lit("broken").alias("kind"), "doc", (F.length(CORRUPT) > 0).alias("has_text"))
+    return rows.select(kind, "doc", "event_id", "user_id", "event_type", "props").unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def dated_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings of the events: all new, then some changed, some new, then the second delivery once more."""
+    lake, (first, second) = _lake(spark), [with_plain_names(spark, root) for root in land_events(spark, sf_dir)]
+    found = None
+    for day, source in ((1, first), (2, second), (3, second)):
+        status = land(spark, lake, "events", source, dt.date(2024, 2, day), "*.txt")
+        there = status.groupBy("status").agg(F.count(F.lit(1)).alias("files")).withColumn("day", F.lit(day))
+        found = there if found is None else found.unionByName(there)
+    return found
+
+
 @query
 def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends with different columns read back as one table."""
@@ -362,7 +385,8 @@ def customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orders_by_month_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.orders_by_month_status(silver_orders(spark, sf_dir))
+    counts = marts.orders_by_month_status(silver_orders(spark, sf_dir))
+    return numbered(counts, F.desc("order_year"), F.desc("order_month"), F.col("order_status").asc_nulls_last())
 
 
 # --- views -----------------------------------------------------------------------------------
@@ -370,12 +394,12 @@ def orders_by_month_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.monthly_trends(orders_mart(spark, sf_dir))
+    return numbered(views.monthly_trends(orders_mart(spark, sf_dir)), F.desc("report_year"), F.desc("report_month"))
 
 
 @query
 def zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.zone_revenue(zones_mart(spark, sf_dir))
+    return numbered(views.zone_revenue(zones_mart(spark, sf_dir)), F.col("total_zone_revenue").desc_nulls_first(), "pulocationid")
 
 
 @query
@@ -401,7 +425,8 @@ def delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def high_value_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(views.high_value_customers(marts.customer_value(silver_sales(spark, sf_dir))))
+    rows = plain(views.high_value_customers(marts.customer_value(silver_sales(spark, sf_dir))))
+    return numbered(rows, F.desc("total_lifetime_spend"), F.col("customer_id").asc_nulls_last())
 
 
 @query
@@ -412,7 +437,8 @@ def record_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sorted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(views.sort_by(orders_mart(spark, sf_dir), "total_orders", True, ["order_date", "order_status"]))
+    rows = plain(views.sort_by(orders_mart(spark, sf_dir), "total_orders", True, ["order_date", "order_status"]))
+    return numbered(rows, F.desc("total_orders"), "order_date", F.col("order_status").asc_nulls_last())
 
 
 @query
@@ -576,12 +602,13 @@ def _lake(spark: SparkSession) -> Lake:
 
 @query
 def orders_csv_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files to silver, twice, to gold; the mart read back."""
+    """CSV files to silver, twice, to gold; the mart read back, with the bad rows kept after both runs."""
     lake, source = _lake(spark), land_orders(spark, sf_dir)
     stages.bronze_to_silver(spark, lake, "ecommerce", source_path=source)
     stages.bronze_to_silver(spark, lake, "ecommerce", source_path=source)
     stages.silver_to_gold(spark, lake, "ecommerce")
-    return plain(read_table(spark, lake.path("gold", "gold_daily_orders_summary")))
+    kept = read_table(spark, lake.path("silver", "quarantine/corrupted_orders")).count()
+    return plain(read_table(spark, lake.path("gold", "gold_daily_orders_summary"))).withColumn("quarantined_rows", F.lit(kept).cast("long"))
 
 
 @query
