@@ -88,11 +88,11 @@ def _first_row() -> int:
 
 
 def _filter_bits(seeds: int) -> int:
-    """Bits of the table for so many seeds: sixteen or more for each (half a place in a hundred passes by chance), from 2 to 64 MB.
+    """Bits of the table for so many seeds: eight or more for each (three places in a hundred at most pass by chance), from 2 to 64 MB.
 
-    Beyond 32 million seeds the table stays at 64 MB and lets more places through to the join, which is exact.
+    Beyond 64 million seeds the table stays at 64 MB and lets more places through to the join, which is exact.
     """
-    return 1 << min(29, max(24, (16 * seeds - 1).bit_length() if seeds else 0))
+    return 1 << min(29, max(24, (8 * seeds - 1).bit_length() if seeds else 0))
 
 
 def _items(masks: Sequence[str], least: int):

@@ -488,4 +488,4 @@ def test_very_many_rows_of_one_id_make_no_pairs_of_rows(spark):
 
 
 def test_table_of_seeds_grows_with_the_benchmark():
-    assert [decontaminate._filter_bits(n).bit_length() - 1 for n in (0, 1, 1 << 20, (1 << 20) + 1, 7_000_000, 1 << 40)] == [24, 24, 24, 25, 27, 29]
+    assert [decontaminate._filter_bits(n).bit_length() - 1 for n in (0, 1, 1 << 21, (1 << 21) + 1, 7_000_000, 1 << 40)] == [24, 24, 24, 25, 26, 29]
