@@ -108,7 +108,7 @@ def pack(
     capacity: int = 4096,
     end_id: int = 2,
     block: int = 200_000,
-    cached: int = 1_000_000,
+    cached: int = 600_000,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece of a document.
 
