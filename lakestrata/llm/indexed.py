@@ -365,5 +365,6 @@ def fetch(spark: SparkSession, folder: str, keys: DataFrame | None, *, nulls: bo
         places = none if places is None else places.unionByName(none)
     if places is None:
         places = spark.createDataFrame([], schema)
-    dealt = saved(places, "places").repartition("shard").sortWithinPartitions("shard", "doc")
+    # a row of places is small and its documents are not: one task a shard, whatever the bytes of the places
+    dealt = saved(places, "places").repartition(max(1, len(shards)), "shard").sortWithinPartitions("shard", "doc")
     return dealt.mapInArrow(_fetched(shards, chunk, whole), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
