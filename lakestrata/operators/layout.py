@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,3 +73,32 @@ def clustered(
     spread = [*order, F.col("_cluster"), F.xxhash64(*sortable)]
     ranged = keyed.repartitionByRange(partitions, *spread) if partitions else keyed.repartitionByRange(*spread)
     return ranged.sortWithinPartitions(*order, "_cluster", *columns).drop("_cluster")
+
+
+def clustering_depth(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """``column, files, mean_depth, max_depth``: how many files of a table a value of each column meets.
+
+    ``df`` is a plain read of the table. Each file's least and greatest value come from one aggregation per file; a sweep
+    over their ends then counts the files that are open where a file begins, file limits included. A depth of 1 means
+    that no ranges overlap. Values of different partitions never meet. A file with NULLs only takes no part. The sweep sees two
+    rows per file and column, and a partition's files are swept by one task.
+    """
+    limits = [f(F.col(c)).alias(f"{e}{i}") for i, c in enumerate(columns) for f, e in ((F.min, "a"), (F.max, "b"))]
+    files = df.groupBy(*partition_by, F.col("_metadata.file_path").alias("file")).agg(*limits)
+    result = None
+    for i, c in enumerate(columns):
+        ends = F.array(
+            F.struct(F.col(f"a{i}").alias("at"), F.lit(0).alias("closes")), F.struct(F.col(f"b{i}").alias("at"), F.lit(1).alias("closes"))
+        )
+        points = files.where(F.col(f"a{i}").isNotNull()).select(*partition_by, F.inline(ends))
+        # at one value files are opened before others are closed, and all that open there count
+        order = W.partitionBy(F.lit(i), *partition_by).orderBy("at", "closes").rangeBetween(W.unboundedPreceding, W.currentRow)
+        open_files = F.sum(F.lit(1) - 2 * F.col("closes")).over(order)
+        one = points.withColumn("depth", open_files).where("closes = 0").agg(
+            F.lit(c).alias("column"),
+            F.count(F.lit(1)).alias("files"),
+            F.avg("depth").alias("mean_depth"),
+            F.max("depth").alias("max_depth"),
+        )
+        result = one if result is None else result.unionByName(one)
+    return result

@@ -12,12 +12,14 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.layout import clustered, sized
 from ..operators.merge import key_faults, merge_into_table, merge_rows
 from ..runtime import MB, hadoop_path, scratch_path
+from ..sources.footers import listed_files
 from ..sources.tables import read_table, table_exists
 
 
@@ -233,6 +235,42 @@ def small_file_partitions(spark: SparkSession, path: str, partition_by: Sequence
     )
 
 
+def _bins(spark: SparkSession, path: str, smaller_than: int, filled: int) -> DataFrame:
+    """``path, bin``: the small files that are to be put together, bins numbered from 0.
+
+    Small files of a folder are laid end to end by name and cut every ``filled`` bytes, so a bin holds at most ``filled``
+    and one small file more; a bin with a single file is left alone.
+    """
+    small = listed_files(spark, path).where(F.col("length") < smaller_than).withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+    before = F.sum("length").over(W.partitionBy("folder").orderBy("path")) - F.col("length")
+    cut = small.withColumn("part", F.floor(before / filled))
+    several = cut.groupBy("folder", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    numbers = several.select("folder", "part", (F.row_number().over(W.orderBy("folder", "part")) - 1).alias("bin"))
+    return cut.join(numbers, ["folder", "part"]).select("path", "bin")
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """Take the old files away and put the new ones in; can be done again from any point, so a lost driver does no harm."""
+    work = f"{path}/_compacting"
+    fs, folder = hadoop_path(spark, work)
+    if not fs.exists(folder):
+        return
+    if fs.exists(hadoop_path(spark, f"{work}/old/_SUCCESS")[1]):
+        for r in spark.read.schema("path string").parquet(f"{work}/old").collect():
+            fs.delete(hadoop_path(spark, r.path)[1], False)
+        rows = f"{work}/rows"
+        root = fs.makeQualified(hadoop_path(spark, rows)[1]).toString()
+        new = fs.listFiles(hadoop_path(spark, rows)[1], True)
+        while new.hasNext():
+            source = new.next().getPath()
+            if source.getName().endswith(".parquet"):
+                target = hadoop_path(spark, path + source.toString()[len(root) :])[1]
+                fs.mkdirs(target.getParent())
+                if not fs.rename(source, target):
+                    raise OSError(f"cannot move {source} to {target}")
+    fs.delete(folder, True)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -240,27 +278,35 @@ def compact(
     smaller_than: int = 64 * MB,
     max_records: int = 0,
     fmt: str = "parquet",
+    filled: int = 512 * MB,
 ) -> int:
-    """Rewrite partitions made of small files into well filled ones; returns the rows rewritten."""
+    """Put small files together into ones of about ``filled`` bytes; returns the rows rewritten.
+
+    Only files below ``smaller_than`` that have others in their folder to join are read and written, in partitioned and other
+    tables alike; all others keep their names. The new files and the list of those they replace are complete in the
+    hidden folder ``_compacting`` before anything is moved: a run that is lost after that is finished by the next one, one
+    lost before it is forgotten. The driver handles names of small files only, a part of every listing of the table.
+    """
     if fmt == "delta":
         spark.sql(f"OPTIMIZE delta.`{path}`")
         return 0
-    table = read_table(spark, path, fmt)
-    if not partition_by:
-        return overwrite(table, path, (), fmt)
-    found = small_file_partitions(spark, path, partition_by, smaller_than).select(*partition_by).collect()
+    _finish_compaction(spark, path)
+    # partition values stay the text of their folders
+    known_types = read_table(spark, path, fmt).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in partition_by else f for f in known_types])
+    bins = stage(_bins(spark, path, smaller_than, filled), "bins")
+    found = bins.select("path").collect()
     if not found:
         return 0
-    chosen = table.where(in_partitions(partition_by, [tuple(r) for r in found]))
-    return _write(
-        sized(chosen, partition_by),
-        path,
-        "overwrite",
-        fmt,
-        partition_by,
-        partitionOverwriteMode="dynamic",
-        maxRecordsPerFile=max_records,
-    )
+    count = bins.agg(F.max("bin")).first()[0] + 1
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[r.path for r in found])
+    file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    known = bins.select(F.col("path").alias("_file"), F.col("bin").cast("int").alias("_bin"))
+    put = rows.withColumn("_of", file).join(known, F.col("_of") == F.col("_file")).repartitionById(count, F.col("_bin")).drop("_of", "_file", "_bin")
+    done = _write(put, f"{path}/_compacting/rows", "overwrite", fmt, partition_by, maxRecordsPerFile=max_records)
+    bins.select("path").write.parquet(f"{path}/_compacting/old")
+    _finish_compaction(spark, path)
+    return done
 
 
 def write_clustered(

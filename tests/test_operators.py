@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators import marts, quality, views
+from lakestrata.operators import layout, marts, quality, views
 from lakestrata.operators.contracts import DAILY_ORDERS, DAILY_ZONES, SILVER_ORDERS, conform
 from lakestrata.operators.dedup import distinct_by, keep_first, latest_by
 from lakestrata.operators.merge import key_faults, merge_rows
@@ -244,3 +244,24 @@ def test_conform(spark):
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
         conform(df, {"c": "int"})
     assert SILVER_ORDERS["order_year"] == "int"
+
+
+def test_clustering_depth_counts_the_ranges_a_value_meets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for low, high in ((0, 9), (9, 20), (5, 6), (30, 30)):
+        spark.createDataFrame([(low, None), (high, None)], "x int, y int").coalesce(1).write.mode("append").parquet(path)
+    rows = {r.column: (r.files, r.mean_depth, r.max_depth) for r in layout.clustering_depth(spark.read.parquet(path), ["x", "y"]).collect()}
+    # depths where files begin: 1 at 0, 2 at 5, 2 at 9, 1 at 30
+    assert rows == {"x": (4, 1.5, 2), "y": (0, None, None)}
+
+
+def test_unequal_rows_name_lost_and_added_rows(spark):
+    schema = "k int, v string, x double"
+    before = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0), (2, None, None), (3, "c", 3.0), (None, "d", 4.0)] + [(i, "z", 0.0) for i in range(10, 300)], schema)
+    after = spark.createDataFrame([(1, "a", 1.0), (2, None, None), (3, "c", 3.5), (None, "d", 4.0)] + [(i, "z", 0.0) for i in range(299, 9, -1)], schema)
+    found = {tuple(r) for r in quality.unequal_rows(before, after, ["k"], buckets=16).collect()}
+    assert found == {(1, "a", 1.0, "lost"), (3, "c", 3.0, "lost"), (3, "c", 3.5, "added")}
+    assert quality.unequal_rows(before, before.repartition(3).select("x", "v", "k"), ["k"]).count() == 0
+    assert quality.unequal_rows(before.limit(0), after.limit(0), ["k"]).count() == 0
+    with pytest.raises(ValueError, match="columns differ"):
+        quality.unequal_rows(before, after.drop("x"), ["k"])

@@ -127,6 +127,50 @@ def test_compaction_rewrites_only_small_file_partitions(spark, tmp_path):
     assert compact(spark, path, ["p"]) == 0
 
 
+def test_compaction_keeps_large_files_and_text_partitions(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k long, region string"
+    for start in (0, 10, 20):
+        rows = [(start + i, region) for i in range(5) for region in ("007", "a/b %", None)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.partitionBy("region").mode("append").parquet(path)
+    spark.range(200_000).selectExpr("id + 1000 AS k", "'007' AS region").coalesce(1).write.partitionBy("region").mode("append").parquet(path)
+    files = {p: p.stat().st_size for p in Path(path).glob("region=*/*.parquet")}
+    large = max(files, key=files.get)
+    assert compact(spark, path, ["region"], smaller_than=100_000) == 45
+    assert large.exists() and len(list(Path(path).glob("region=*/*.parquet"))) == 4
+    assert {p.name for p in Path(path).glob("region=*")} == {p.parent.name for p in files}
+    assert not list(Path(path).glob("_compacting*"))
+    got = spark.read.schema(schema).parquet(path).where("k < 1000").groupBy("region").agg(F.count("*"), F.sum("k")).collect()
+    assert {tuple(r) for r in got} == {("007", 15, 180), ("a/b %", 15, 180), (None, 15, 180)}
+
+
+def test_compaction_fills_files_to_a_size(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(800).repartition(8).write.parquet(path)
+    size = max(p.stat().st_size for p in Path(path).glob("*.parquet"))
+    before = {p.name for p in Path(path).glob("*.parquet")}
+    rows = compact(spark, path, filled=2 * size)
+    after = {p.name for p in Path(path).glob("*.parquet")}
+    # a file that is left over alone keeps its name
+    assert rows == 800 - 100 * len(before & after) and len(before & after) <= 1
+    assert 3 <= len(after) <= 5 and read_table(spark, path).agg(F.sum("id")).first()[0] == sum(range(800))
+
+
+@pytest.mark.parametrize("stopped_at", ["rows", "old", "moved"])
+def test_a_compaction_that_was_stopped_is_finished_or_forgotten(spark, tmp_path, monkeypatch, stopped_at):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(5).write.parquet(path)
+    names = sorted(str(p) for p in Path(path).glob("*.parquet"))
+    spark.range(100).coalesce(1).write.parquet(f"{path}/_compacting/rows")
+    if stopped_at != "rows":
+        spark.createDataFrame([(f"file:{n}",) for n in names], "path string").write.parquet(f"{path}/_compacting/old")
+    if stopped_at == "moved":
+        for n in names[:3]:
+            Path(n).unlink()
+    compact(spark, path)
+    assert len(list(Path(path).glob("*.parquet"))) == 1 and not list(Path(path).glob("_compacting*"))
+    assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(100))
+
+
 def test_compaction_of_unpartitioned_table(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).repartition(10).write.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakestrata import runtime
 from lakestrata.operators.split import split_invalid
 from lakestrata.sources.jdbc import read_jdbc
+from lakestrata.sources.footers import file_footers
 from lakestrata.sources.manifest import compare_manifests, file_counts, file_manifest, table_metrics
 from lakestrata.sources.raw import read_csv_permissive, read_json_documents
 from lakestrata.sources.tables import Lake, abfss_uri, preview, read_table, register_table, require_table, since, table_exists
@@ -132,6 +133,15 @@ def test_table_metrics(spark, tmp_path):
     assert rows["empty"].rows == 0
 
 
+def test_file_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "CASE WHEN id < 30 THEN 'a b%' END AS p").coalesce(1).write.partitionBy("p").parquet(path)
+    found = {(r.rows, r.row_groups) for r in file_footers(spark, path).collect()}
+    assert found == {(30, 1), (70, 1)}
+    (tmp_path / "none").mkdir()
+    assert file_footers(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_jdbc_scan_needs_bounds(spark):
     with pytest.raises(ValueError, match="bounds"):
         read_jdbc(spark, "jdbc:x", "t", partition_column="id")

@@ -243,9 +243,10 @@ ORACLES: dict[str, str] = {
         CAST(min(d) AS STRING) AS first_day, CAST(max(d) AS STRING) AS last_day
       FROM ({EVENT_DAYS.format(events="events")}) x GROUP BY 1""",
     "landed_lines": "SELECT 'lines' AS method, CAST(2 * count(*) AS BIGINT) AS line_count FROM orders",
-    "layer_metrics": f"""SELECT 'silver' AS layer, 'orders' AS "table", count(*) AS "rows", true AS has_files, true AS has_bytes
+    "layer_metrics": f"""SELECT 'silver' AS layer, 'orders' AS "table", count(*) AS "rows", true AS has_files, true AS has_bytes,
+      CAST(0 AS BIGINT) AS differing_files
       FROM {SILVER_ORDERS} s UNION ALL
-      SELECT 'gold', 'gold_daily_orders_summary', count(*), true, true FROM {DAILY_ORDERS} m""",
+      SELECT 'gold', 'gold_daily_orders_summary', count(*), true, true, CAST(0 AS BIGINT) FROM {DAILY_ORDERS} m""",
     "quarantine_valid": f"SELECT * FROM {VALID_ORDERS} v",
     "quarantine_bad": f"SELECT * FROM {raw_sql('orders')} r WHERE {BAD}",
     "required_columns_split": f"""SELECT *, CASE WHEN {BAD} OR customer_id IS NULL THEN 'bad' ELSE 'valid' END AS side FROM {raw_sql("orders")} r""",
@@ -379,6 +380,14 @@ ORACLES: dict[str, str] = {
       FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {BAD}) AS b FROM {raw_sql("orders")} r) a,
       (SELECT count(*) AS v, count(DISTINCT trim(order_id)) AS u FROM {VALID_ORDERS} w) c,
       (SELECT count(*) AS k FROM {SILVER_ORDERS} s) d""",
+    "lost_rows": """SELECT *, 'lost' AS side FROM events WHERE event_id % 997 = 3 OR event_id % 101 = 5
+      UNION ALL SELECT * REPLACE (value + 1 AS value), 'added' FROM events WHERE event_id % 101 = 5 AND event_id % 997 <> 3
+      UNION ALL SELECT *, 'added' FROM events WHERE event_id % 991 = 7""",
+    "compaction_files": """SELECT CAST(4 AS INTEGER) AS files_before, CAST(2 AS BIGINT) AS files_after, CAST(1 AS BIGINT) AS untouched,
+      count(*) FILTER (WHERE event_id % 20 IN (1, 2, 3)) AS rows_rewritten,
+      CAST(count(*) + count(*) FILTER (WHERE event_id % 20 IN (1, 2, 3)) AS INTEGER) AS row_count FROM events""",
+    "clustering_depths": """SELECT c AS "column", CAST(16 AS BIGINT) AS files_before, CAST(16 AS BIGINT) AS files_after,
+      true AS within_bound, true AS less FROM (VALUES ('user_id'), ('ts')) v(c)""",
     "zorder_roundtrip": f"SELECT * FROM {DAILY_ZONES} m",
     "orders_zorder_roundtrip": f"SELECT * FROM {SILVER_ORDERS} s",
     "compact_roundtrip": "SELECT *, CAST(day(ts) AS INTEGER) AS day FROM events",

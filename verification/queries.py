@@ -15,6 +15,7 @@ from lakestrata.functions.casts import is_blank, to_double, to_int, to_time
 from lakestrata.functions.labels import code_label, iso_json
 from lakestrata.operators import contracts, marts, quality, views
 from lakestrata.operators.dedup import distinct_by, keep_first, latest_by
+from lakestrata.operators.layout import clustering_depth
 from lakestrata.operators.merge import merge_rows
 from lakestrata.operators.order import numbered
 from lakestrata.operators.split import rejects, rejects_by_reason, split_invalid
@@ -31,6 +32,7 @@ from lakestrata.sinks.tables import (
     stage,
     write_clustered,
 )
+from lakestrata.sources.footers import file_footers, listed_files
 from lakestrata.sources.landing import land
 from lakestrata.sources.manifest import compare_manifests, file_manifest, table_metrics
 from lakestrata.sources.raw import CORRUPT, SOURCE, read_csv_permissive, read_json_documents, split_json_documents
@@ -203,12 +205,20 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per layer table."""
+    """Rows, files and bytes per layer table from the footers, beside the files whose scan counts other rows."""
     silver, gold = scratch_path(spark, "silver-orders"), scratch_path(spark, "gold-orders")
     overwrite(silver_orders(spark, sf_dir), silver, orders.PARTITIONS)
     overwrite(marts.daily_orders(read_table(spark, silver)), gold, ["report_year", "report_month"])
-    metrics = table_metrics(spark, {("silver", "orders"): silver, ("gold", "gold_daily_orders_summary"): gold})
-    return metrics.select("layer", "table", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    tables = {("silver", "orders"): silver, ("gold", "gold_daily_orders_summary"): gold}
+    metrics = table_metrics(spark, tables).select("layer", "table", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    faults, below = None, "[^/]*/[^/]*/[^/]*$"
+    for (layer, name), path in tables.items():
+        scanned = read_table(spark, path).groupBy(F.regexp_extract("_metadata.file_path", below, 0).alias("file")).agg(F.count(F.lit(1)).alias("scanned"))
+        footers = file_footers(spark, path).select(F.regexp_extract("path", below, 0).alias("file"), F.col("rows").alias("told"))
+        differing = F.count_if(~F.coalesce("scanned", F.lit(0)).eqNullSafe(F.col("told"))).alias("differing_files")
+        one = footers.join(scanned, "file", "full_outer").agg(F.lit(layer).alias("layer"), F.lit(name).alias("table"), differing)
+        faults = one if faults is None else faults.unionByName(one)
+    return metrics.join(faults, ["layer", "table"])
 
 
 # --- cleaning --------------------------------------------------------------------------------
@@ -524,6 +534,17 @@ def row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_balance(raw(spark, sf_dir, "orders"), silver_orders(spark, sf_dir), orders.KEY)
 
 
+@query
+def lost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events a layer lost, changed or holds twice, named by row; the same table against itself adds none."""
+    events = stage(table(spark, sf_dir, "events"), "events")
+    value = F.when(F.col("event_id") % 101 == 5, F.col("value") + 1).otherwise(F.col("value")).alias("value")
+    kept = events.where("event_id % 997 <> 3").select(*[value if c == "value" else F.col(c) for c in events.columns])
+    layer = stage(kept.unionByName(events.where("event_id % 991 = 7")), "layer")
+    found = quality.unequal_rows(events, layer, ["event_id"])
+    return plain(found.unionByName(quality.unequal_rows(events, events.repartition(7), ["event_id"])))
+
+
 # --- layout ----------------------------------------------------------------------------------
 
 
@@ -555,6 +576,40 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def compaction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an unpartitioned table before and after compaction; its large file keeps its name."""
+    path = scratch_path(spark, "small-files")
+    events = stage(table(spark, sf_dir, "events"), "events")
+    events.coalesce(1).write.parquet(path)
+    large = listed_files(spark, path).first()
+    for rest in (1, 2, 3):
+        events.where(F.col("event_id") % 20 == rest).coalesce(1).write.mode("append").parquet(path)
+    files_before = listed_files(spark, path).count()
+    rows = compact(spark, path, smaller_than=large.length, filled=1 << 40)
+    after = listed_files(spark, path).agg(
+        F.lit(files_before).alias("files_before"),
+        F.count(F.lit(1)).alias("files_after"),
+        F.count_if((F.col("path") == large.path) & (F.col("length") == large.length)).alias("untouched"),
+        F.lit(rows).cast("long").alias("rows_rewritten"),
+    )
+    return after.withColumn("row_count", F.lit(read_table(spark, path).count()))
+
+
+@query
+def clustering_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of 16 files a value of each column meets, before and after clustering."""
+    before, after = scratch_path(spark, "loose"), scratch_path(spark, "clustered")
+    events = table(spark, sf_dir, "events")
+    overwrite(events.repartition(16), before, arranged=True)
+    write_clustered(events, after, ["user_id", "ts"], partitions=16)
+    was, now = [clustering_depth(read_table(spark, p), ["user_id", "ts"]) for p in (before, after)]
+    both = was.select("column", F.col("files").alias("files_before"), F.col("mean_depth").alias("was")).join(
+        now.select("column", F.col("files").alias("files_after"), F.col("mean_depth").alias("now")), "column"
+    )
+    return both.select("column", "files_before", "files_after", (F.col("now") <= 10).alias("within_bound"), (F.col("now") < F.col("was")).alias("less"))
+
+
 @query
 def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by a changed copy of itself."""
