@@ -90,6 +90,13 @@ class ServingTable:
     def max_lengths(self) -> dict[str, int]:
         return {c: int(k[8:-1]) for c, k in self.columns.items() if k.startswith("VARCHAR(")}
 
+    def default(self, column: str) -> str | None:
+        """What a required column outside the key takes when a row does not name it: measures 0, times the present."""
+        if column not in self.required or column in self.key:
+            return None
+        kind = self.columns[column]
+        return "0" if kind == "BIGINT" or kind.startswith("NUMERIC") else "CURRENT_TIMESTAMP" if kind == "TIMESTAMPTZ" else None
+
 
 # Serving tables with keys, SQL types and NOT NULL columns.
 SERVING_TABLES = {

@@ -105,9 +105,10 @@ def publish_statements(table: str, columns: Sequence[str], staging: str, mode: s
 
 
 def create_table_sql(table: str, schema: str = "public") -> str:
-    """DDL with types, NOT NULL and the primary key."""
+    """DDL with types, NOT NULL, defaults and the primary key."""
     known = serving_table(table)
-    lines = [f"{c} {kind}{' NOT NULL' if c in known.required else ''}" for c, kind in known.columns.items()]
+    rules = {c: " NOT NULL" * (c in known.required) + (f" DEFAULT {d}" if (d := known.default(c)) else "") for c in known.columns}
+    lines = [f"{c} {kind}{rules[c]}" for c, kind in known.columns.items()]
     lines.append(f"{known.loaded_at} TIMESTAMPTZ NOT NULL DEFAULT CURRENT_TIMESTAMP")
     lines.append(f"PRIMARY KEY ({', '.join(known.key)})")
     return f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({', '.join(lines)})"

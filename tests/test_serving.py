@@ -64,6 +64,19 @@ def test_constraint_faults(spark):
     assert {r.constraint: r.violations for r in constraint_faults(wide, DAILY).collect()}["order_status at most 32"] == 1
 
 
+def test_tables_fill_required_columns_by_default():
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE SCHEMA IF NOT EXISTS public")
+    con.execute(create_table_sql(DAILY))
+    con.execute(f"INSERT INTO public.{DAILY} (order_date, order_status, report_year, report_month) VALUES (DATE '2024-03-05', 'shipped', 2024, 3)")
+    row = con.execute(f"SELECT total_orders, cancelled_orders, avg_delivery_days, _gold_calculated_at IS NOT NULL FROM public.{DAILY}").fetchone()
+    assert row == (0, 0, None, True)
+    with pytest.raises(duckdb.ConstraintException):
+        con.execute(f"INSERT INTO public.{DAILY} (order_date, order_status, report_year) VALUES (DATE '2024-03-06', 'shipped', 2024)")
+
+
 class Shelf:
     """The statements run in DuckDB, which reads them like PostgreSQL; the JDBC copy is replaced by a hand-over."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakestrata.operators.contracts import SERVING_TABLES
 from lakestrata.plans.orders import RAW_COLUMNS, TIMES
 from lakestrata.plans.trips import DOUBLES, INTEGERS
 from lakestrata.plans.trips import RAW_COLUMNS as TRIP_COLUMNS
@@ -223,6 +224,16 @@ _SALES_OUT = "order_id, customer_id, amount, status, order_date, order_timestamp
 # ingested in one batch, so the other columns decide, in the order JSON inference names them
 _JSON_SALES = clean_sales(raw_sql("events"), nulls_last(["amount", "customer_id", "order_date", "status"]))
 
+
+
+def _too_wide(column: str, kind: str) -> str:
+    """Marts are rounded to two digits, so a value fits unless it has too many before the point."""
+    if not kind.startswith("NUMERIC"):
+        return "false"
+    digits, scale = (int(n) for n in kind[8:-1].split(","))
+    return f"abs({column}) >= {10 ** (digits - scale)}"
+
+
 ORACLES: dict[str, str] = {
     "csv_permissive_scan": f"""SELECT {", ".join(_csv_column(i, c) for i, c in enumerate(RAW_COLUMNS, 1))}, _corrupt_record
       FROM {raw_sql("orders")} r""",
@@ -400,7 +411,11 @@ ORACLES: dict[str, str] = {
     )
     + f""" UNION ALL SELECT '_gold_calculated_at not null', CAST(0 AS BIGINT) UNION ALL
       SELECT 'primary key (pickup_date, pulocationid, payment_type)', count(*) FROM (SELECT 1 FROM ({_SERVING_ZONES}) z
-      GROUP BY pickup_date, pulocationid, payment_type HAVING count(*) > 1) k""",
+      GROUP BY pickup_date, pulocationid, payment_type HAVING count(*) > 1) k"""
+    + "".join(
+        f""" UNION ALL SELECT '{c} fits {kind}', count(*) FILTER (WHERE {_too_wide(c, kind)}) FROM {DAILY_ZONES} m"""
+        for c, kind in SERVING_TABLES["gold_daily_zone_metrics"].columns.items()
+    ),
     "publish_dry_run": f"""SELECT 'gold_daily_orders_summary' AS "table", count(*) AS row_count,
       '{_DRY_COLUMNS}' AS "columns", '{_DRY_STATEMENT}' AS statement FROM {DAILY_ORDERS} m""",
     "orders_csv_to_gold": f"""SELECT *, (SELECT count(*) FROM {raw_sql("orders")} r WHERE {BAD}) AS quarantined_rows FROM {DAILY_ORDERS} m""",

@@ -637,9 +637,10 @@ def serving_rows_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def serving_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Constraint check before publishing; trips with an unreadable payment type break the key."""
-    rows = stage(serving.serving_rows(zones_mart(spark, sf_dir), "gold_daily_zone_metrics"), "serving")
-    return serving.constraint_faults(rows, "gold_daily_zone_metrics")
+    """Constraint and precision checks before publishing; trips with an unreadable payment type break the key."""
+    mart = stage(zones_mart(spark, sf_dir), "serving")
+    faults = serving.constraint_faults(serving.serving_rows(mart, "gold_daily_zone_metrics"), "gold_daily_zone_metrics")
+    return faults.unionByName(serving.precision_faults(mart, "gold_daily_zone_metrics"))
 
 
 @query
