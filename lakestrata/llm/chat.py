@@ -15,6 +15,11 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(text, _CONTROL, r"$0\\")
 
 
+def _role(role: Column) -> Column:
+    """A role on one line: no escaped text holds ``<\\n>`` with a single backslash, so a newline can be written so."""
+    return F.replace(escaped(role), F.lit("\n"), F.lit("<\\n>"))
+
+
 def unescaped(text: Column) -> Column:
     """The exact text that ``escaped`` was given: a pair of backslashes is one, a single one goes."""
     return F.regexp_replace(text, r"\\(\\?)", "$1")
@@ -33,7 +38,7 @@ def format_chats(
 
     Turns are sorted as an array of structs (turn, role, text), adjacent turns of one role are merged into a
     block by an array aggregation, and a block reads ``<|im_start|>role\\ntext<|im_end|>\\n``; the texts of a
-    merged block are parted by ``<|im_sep|>``. Control strings inside roles and texts are escaped, so ``parsed``
+    merged block are parted by ``<|im_sep|>``. Control strings inside roles and texts and newlines in roles are escaped, so ``parsed``
     gives back every turn exactly. ``formatted`` is the concatenation of ``segments.text``;
     ``segments.loss`` is the loss mask: true for exactly the texts of role ``trained``.
 
@@ -59,7 +64,7 @@ def format_chats(
 
     def pieces(z: Column) -> Column:
         role, plain = z["turns"]["role"], F.lit(False)
-        opening = F.when(role.eqNullSafe(z["before"]), F.lit(SPLIT)).otherwise(F.concat(F.lit(START), escaped(role), F.lit("\n")))
+        opening = F.when(role.eqNullSafe(z["before"]), F.lit(SPLIT)).otherwise(F.concat(F.lit(START), _role(role), F.lit("\n")))
         closing = F.when(role.eqNullSafe(z["after"]), F.lit("")).otherwise(F.lit(END + "\n"))
         return F.array(
             segment(opening, plain), segment(escaped(z["turns"]["text"]), role == F.lit(trained)), segment(closing, plain)
@@ -76,7 +81,7 @@ def parsed(formatted: Column) -> Column:
     blocks = F.slice(parts, F.lit(2), F.size(parts))
 
     def turns(block: Column) -> Column:
-        role = unescaped(F.substring_index(block, "\n", 1))
+        role = unescaped(F.replace(F.substring_index(block, "\n", 1), F.lit("<\\n>"), F.lit("\n")))
         body = F.regexp_replace(block, r"(?s)\A[^\n]*\n|<\|im_end\|>\n\z", "")
         return F.transform(F.split(body, r"<\|im_sep\|>"), lambda t: F.struct(role.alias("role"), unescaped(t).alias("text")))
 

@@ -46,7 +46,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = warc.write_warc(pages, scratch_path(spark, "warc"))
     found = warc.read_warc(spark, folder)
-    return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return found.where("kind <> 'gap'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def _sha(text: Column) -> Column:

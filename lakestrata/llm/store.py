@@ -95,6 +95,12 @@ def _maybe(ids: DataFrame, id_column: Column, bits: int = 1 << 26) -> Column:
     return found(F.xxhash64(id_column)) & id_column.isNotNull()
 
 
+def parted(df: DataFrame, column: Column, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose column may be among ``ids`` (one column), and those that surely are not, NULL included."""
+    maybe = _maybe(ids, column)
+    return df.where(maybe), df.where(~maybe)
+
+
 def _as_id(df: DataFrame, id_col: str, ids: DataFrame) -> Column:
     """The id column in the type of ``ids``; what cannot be read as such is NULL."""
     return df[id_col].try_cast(ids.schema[0].dataType)
