@@ -9,10 +9,10 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import sampled, saved
 
 UNKNOWN = "unknown"
 # fixed values: short notices by which a licence family is named in a text
@@ -53,9 +53,13 @@ NOT_NOTICES = (
 )
 # every notice holds one of these stems, so only such paragraphs can be confirmed
 _CUE = r"(?i)licen[sc]|copyright|permission|redistribut|public\W+domain"
-# a wrapped notice: the words of the longest one with as many around it on its first and last line, over so many lines
-_MOST_WORDS = 2 * max(len(re.findall("[a-z0-9]+", n.lower())) for _, n in NOTICES)
-_MOST_LINES = 12
+# a wrapped notice has the words of the longest one, with as many around it on its first and last line, on lines with a word each
+_LONGEST = max(len(re.findall("[a-z0-9]+", n.lower())) for _, n in NOTICES)
+_MOST_WORDS = 2 * _LONGEST
+_SPANS = tuple(sorted({n for n in range(1, 13)} | {min(_MOST_WORDS, int(12 * 1.2**k)) for k in range(1, 20)}))
+# pieces of a line of more than _LONG words: from every half of a size on, so a notice of up to half of it lies in one as a whole
+_LONG = 32
+_SIZES = tuple(8 << k for k in range(8) if 2 << k < _LONGEST)
 
 
 def _words(paragraph: Column) -> Column:
@@ -73,30 +77,54 @@ def grams(paragraph: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_row, doc_id, paragraph_no, n_lines, paragraph``: what holds a cue word, each line of a text and each
-    window of adjacent lines. ``paragraph_no`` is the first line (from 0).
+    """``doc_row, doc_id, paragraph_no, n_lines, at, size, paragraph``: what holds a cue word of each line of a text, each
+    window of adjacent lines and each piece of a long line. ``paragraph_no`` is the first line (from 0).
 
-    A window has 2 to ``_MOST_LINES`` lines and ``_MOST_WORDS`` words at most, each line has a word.
+    A window has two lines or more, each with a word, and ``_MOST_WORDS`` words at most; above twelve lines
+    the lengths grow by a fifth. A line of more than ``_LONG`` words is also cut into pieces of 8, 16, ... words that overlap by half, ``at``
+    and ``size`` of which are their first word and number of words (``size`` is NULL for whole lines). All
+    pieces of a line together have at most eight times its words.
     """
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = text.where(F.col("text").rlike(_CUE)).select("doc_id", F.monotonically_increasing_id().alias("doc_row"), F.split("text", "\n").alias("lines"))
-    lines = lines.withColumn("counts", F.transform("lines", lambda line: F.size(_words(line))))
-
-    def block(i: Column, n: Column) -> Column:
-        return F.concat_ws("\n", F.slice("lines", i + 1, n))
+    lines = saved(
+        lines.withColumn("counts", F.transform("lines", lambda line: F.size(_words(line)))).withColumn(
+            "cues", F.transform("lines", lambda line: line.rlike(_CUE + r"|(?i)public\W*$"))
+        ),
+        "lines",
+    )
 
     def fits(i: Column, n: Column) -> Column:
         counts = F.slice("counts", i + 1, n)
         words = F.aggregate(counts, F.lit(0), lambda total, x: total + x)
-        joined = (i + n <= F.size("lines")) & (words <= _MOST_WORDS) & ~F.exists(counts, lambda x: x == 0)
-        return ((n == 1) | joined) & block(i, n).rlike(_CUE)
+        inside = (i + n <= F.size("lines")) & F.exists(F.slice("cues", i + 1, n), lambda x: x)
+        joined = (words <= _MOST_WORDS) & ~F.exists(counts, lambda x: x == 0)
+        return inside & ((n == 1) | joined) & F.concat_ws("\n", F.slice("lines", i + 1, n)).rlike(_CUE)
 
     def windows(i: Column) -> Column:
-        lengths = F.filter(F.sequence(F.lit(1), F.lit(_MOST_LINES)), lambda n: fits(i, n))
-        return F.transform(lengths, lambda n: F.struct(i.alias("paragraph_no"), n.alias("n_lines"), block(i, n).alias("paragraph")))
+        lengths = F.filter(F.array(*[F.lit(n) for n in _SPANS]), lambda n: fits(i, n))
+        block = lambda n: F.concat_ws("\n", F.slice("lines", i + 1, n))
+        return F.transform(lengths, lambda n: F.struct(i.alias("paragraph_no"), n.alias("n_lines"), block(n).alias("paragraph")))
+
+    near = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.exists(F.slice("cues", i + 1, _MOST_WORDS), lambda x: x))
+    whole = lines.select("doc_row", "doc_id", F.inline(F.flatten(F.transform(near, windows)))).select(
+        "doc_row", "doc_id", "paragraph_no", "n_lines", F.lit(0).alias("at"), F.lit(None).cast("int").alias("size"), "paragraph"
+    )
+
+    long = F.filter(
+        F.sequence(F.lit(0), F.size("lines") - 1),
+        lambda i: (F.element_at("counts", i + 1) > _LONG) & F.element_at("cues", i + 1),
+    )
+    each = lines.select("doc_row", "doc_id", F.explode(F.transform(long, lambda i: F.struct(i.alias("paragraph_no"), F.element_at("lines", i + 1).alias("line")))).alias("l"))
+    split = each.select("doc_row", "doc_id", "l.paragraph_no", F.regexp_extract_all("l.line", F.lit("([A-Za-z0-9]+[^A-Za-z0-9]*)"), 1).alias("words")).where("size(words) > 0")
+
+    def pieces(size: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size("words") - 1, F.shiftright(size, 1))
+        made = F.transform(starts, lambda i: F.struct(i.cast("int").alias("at"), size.alias("size"), F.concat_ws("", F.slice("words", i + 1, size)).alias("paragraph")))
+        return F.filter(made, lambda p: p["paragraph"].rlike(_CUE))
 
-    near = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: block(i, F.lit(_MOST_LINES)).rlike(_CUE))
-    return lines.select("doc_row", "doc_id", F.inline(F.flatten(F.transform(near, windows))))
+    parts = split.select("doc_row", "doc_id", "paragraph_no", F.lit(1).alias("n_lines"), F.inline(F.flatten(F.transform(F.array(*[F.lit(s) for s in _SIZES]), pieces))))
+    return whole.unionByName(parts)
 
 
 @dataclass
@@ -124,8 +152,6 @@ def _examples(spark: SparkSession, background: DataFrame) -> DataFrame:
     return made.unionByName(other)
 
 
-
-
 def train(spark: SparkSession, background: DataFrame, *, features: int = 1 << 14, accepted: float = 0.01) -> Model:
     """Fit on variants of the notices; ``background`` has ``paragraph``: paragraphs of the corpus without a notice.
 
@@ -161,47 +187,70 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id, paragraph_no, family, probability, overlap, confirmed, paragraph`` of each paragraph predicted to be a notice.
 
-    A paragraph is a line, or a window of adjacent lines (see ``paragraphs``), that holds a cue word (licence, copyright,
-    permission, ...). It is predicted when its best family is not the unknown one and reaches the calibrated least
+    A paragraph is a line, a window of adjacent lines or a piece of a long line (see ``paragraphs``) that holds a cue word (licence,
+    copyright, permission, ...). It is predicted when its best family is not the unknown one and reaches the calibrated least
     probability, and confirmed when one template of that family has at least the share ``overlap`` of its words and
-    word pairs in it. So a notice wrapped over up to twelve lines is confirmed, behind comment marks as well. Windows
-    count only when confirmed, and of paragraphs that share a line the best one stays: confirmed ones first, then
-    by the number of words and pairs of a template found, where a window has to be better than a line by a tenth.
-    ``paragraph_no`` is the first line. Lines of the corpus without a cue word, at most about ``max_background`` of them by a hash, teach the unknown class.
+    word pairs in it. So a notice is confirmed wrapped over lines of any width, behind comment marks, and between any number of other words in
+    a line. Windows and pieces count only when confirmed, and of paragraphs that meet the best one stays: confirmed ones first, then
+    by the number of words and pairs of a template found, where a window has to be better than a line by a tenth and
+    a small piece goes before a large one and before its line. What a piece covers are the words from the first to the last pair of its
+    template, so several notices in one line are all reported. ``paragraph_no`` is the first line. One line of each text without a cue word,
+    at most about ``max_background`` different ones by a hash, teach the unknown class.
 
     NULL and empty texts have no paragraph. Repeated rows give repeated results, a NULL id stays NULL, other
     columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    lines = docs.select(F.col(text_col).cast("string").alias("text")).where(~F.col("text").rlike(_CUE))
-    n = lines.count()
-    share = int(1_000_000 * min(1.0, max_background / max(1, n)))
-    picked = lines.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share).select(F.split("text", "\n")[0].alias("paragraph"))
-    model = train(spark, picked)
+    plain = docs.select(F.col(text_col).cast("string").alias("text")).where(~F.col("text").rlike(_CUE))
+    chosen = F.split("text", "\n")
+    picked = plain.where(sampled(F.xxhash64("text"), max_background, plain.count())).select(
+        F.element_at(chosen, (F.pmod(F.hash("text"), F.size(chosen)) + 1).cast("int")).alias("paragraph")
+    )
+    model = train(spark, picked.distinct())
 
     found = saved(paragraphs(docs, id_col, text_col), "paragraphs")
     seen = model.stages.transform(found.withColumn("grams", grams(F.col("paragraph")))).withColumn("p", vector_to_array("probability"))
     best = F.array_position("p", F.array_max("p")).cast("int")
     named = seen.select(
-        "doc_row", "doc_id", "paragraph_no", "n_lines", "paragraph", "grams", F.array_max("p").alias("probability"),
+        "doc_row", "doc_id", "paragraph_no", "n_lines", "at", "size", "paragraph", "grams", F.array_max("p").alias("probability"),
         F.element_at(F.array(*[F.lit(f) for f in model.families]), best).alias("family"),
     ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
 
-    def share_of(template: Column) -> Column:
-        return F.size(F.array_intersect(template, F.col("grams"))) / F.size(template)
-
-    compared = named.join(F.broadcast(_templates(spark)), "family").withColumn("overlap", F.array_max(F.transform("templates", share_of)))
-    covered = F.array_max(F.transform("templates", lambda t: F.when(share_of(t) >= overlap, F.size(F.array_intersect(t, F.col("grams")))).otherwise(0)))
-    cost = 0.01 * F.col("n_lines") - covered * F.when(F.col("n_lines") > 1, 0.9).otherwise(1.0)
-    judged = compared.withColumn("confirmed", F.col("overlap") >= overlap).where("confirmed OR n_lines = 1")
+    def met(template: Column) -> Column:
+        """Share and number of a template's words and pairs that are in the paragraph; numbers below the share count as none."""
+        n = F.size(F.array_intersect(template, F.col("grams")))
+        share = n / F.size(template)
+        return F.struct(F.when(share >= overlap, n).otherwise(0).alias("n"), share.alias("share"), template.alias("template"))
+
+    compared = named.join(F.broadcast(_templates(spark)), "family").withColumn("met", F.transform("templates", met))
+    compared = compared.withColumn("overlap", F.array_max("met.share")).withColumn("best", F.array_max("met"))
+    judged = compared.withColumn("confirmed", F.col("overlap") >= overlap).where("confirmed OR (n_lines = 1 AND size IS NULL)")
+
+    # places in the text: line, then word; a piece covers what lies between the first and the last pair of its template
+    pairs = F.filter("grams", lambda g: g.contains(" "))
+    hits = F.transform(pairs, lambda g: F.array_contains("best.template", g))
+    last = F.size("hits") + 1 - F.array_position(F.reverse("hits"), F.lit(True)).cast("int")
+    whole, line = F.col("size").isNull(), F.shiftleft(F.col("paragraph_no").cast("long"), 32)
+    judged = judged.withColumn("hits", F.when(~whole, hits))
+    judged = judged.withColumn("start", line + F.when(whole, 0).otherwise(F.col("at") + F.array_position("hits", F.lit(True)).cast("int") - 1)).withColumn(
+        "stop", F.when(whole, line + F.shiftleft(F.col("n_lines").cast("long"), 32)).otherwise(line + F.col("at") + last + 1)
+    )
+    less = F.when(F.col("n_lines") > 1, 0.9).when(whole & (F.size("grams") > 2 * _LONG), 0.5).otherwise(1.0)
+    cost = 0.01 * F.col("n_lines") + 0.001 * F.coalesce("size", F.lit(0)) - F.col("best.n") * less
     columns = ("doc_id", "family", "probability", "overlap", "confirmed", "paragraph")
-    ranked = F.struct((~F.col("confirmed")).alias("later"), cost.alias("cost"), "n_lines", "paragraph_no", *columns)
+    ranked = F.struct((~F.col("confirmed")).alias("later"), cost.alias("cost"), "n_lines", "start", "stop", "paragraph_no", *columns)
+
+    # runs of paragraphs that meet, each judged for itself
+    before = Window.partitionBy("doc_row").orderBy("start", "stop")
+    reach = F.max("stop").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    runs = judged.select("doc_row", "start", "stop", ranked.alias("one")).withColumn("opens", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("opens").over(before.rowsBetween(Window.unboundedPreceding, 0)))
 
     def meet(x: Column, y: Column) -> Column:
-        return (x["paragraph_no"] < y["paragraph_no"] + y["n_lines"]) & (y["paragraph_no"] < x["paragraph_no"] + x["n_lines"])
+        return (x["start"] < y["stop"]) & (y["start"] < x["stop"])
 
     best = F.aggregate(
         "all", F.slice("all", 1, 0), lambda kept, x: F.when(F.exists(kept, lambda y: meet(x, y)), kept).otherwise(F.concat(kept, F.array(x)))
     )
-    chosen = judged.groupBy("doc_row").agg(F.array_sort(F.collect_list(ranked)).alias("all")).select(F.inline(best))
+    chosen = runs.groupBy("doc_row", "run").agg(F.array_sort(F.collect_list("one")).alias("all")).select(F.inline(best))
     return chosen.select("doc_id", "paragraph_no", "family", "probability", "overlap", "confirmed", "paragraph")

@@ -49,6 +49,14 @@ def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return saved(df.select("*", F.monotonically_increasing_id().alias(key)), name), key
 
 
+def sampled(hashed: Column, most: int, rows: int) -> Column:
+    """Whether a row is in a sample of about ``most`` of so many rows, by a 64-bit hash of it; all rows if there are no more.
+
+    All bits below the sign are compared, so the share never falls to none however many rows there are.
+    """
+    return hashed.bitwiseAND(F.lit((1 << 63) - 1)) <= F.lit((1 << 63) - 1 if rows <= most else (most << 63) // rows)
+
+
 class HashFilter:
     """A bit table of fixed size that tells for a 64-bit hash whether it may be among those given (three bits each).
 

@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import sampled, saved
 from .workers import tidy
 
 # fixed values: words of address in the languages of the corpus
@@ -194,9 +194,8 @@ def train(
     of fewer than two classes the score is a constant: the smoothed share of toxic rows (0 without rows).
     """
     n = labelled.count()
-    hashed = F.pmod(F.xxhash64("id", F.lit("toxicity sample")), F.lit(1_000_000))
-    share = int(1_000_000 * min(1.0, max_rows / max(1, n)))
-    rows = saved(labelled.where(hashed < share).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("toxicity fold")), F.lit(5))), "labelled")
+    picked = labelled.where(sampled(F.xxhash64("id", F.lit("toxicity sample")), max_rows, n))
+    rows = saved(picked.withColumn("fold", F.pmod(F.xxhash64("id", F.lit("toxicity fold")), F.lit(5))), "labelled")
     fit, check = rows.where("fold <> 0"), rows.where("fold = 0")
     seen, toxic = fit.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not toxic or toxic == seen:

@@ -506,9 +506,9 @@ def test_wrapped_licenses(spark):
     rng = random.Random(3)
     texts, expected = [], set()
     for family, notice in licenses.NOTICES:
-        for width, mark in ((60, ""), (72, "// "), (80, " * "), (66, "# "), (40, "-- ")):
+        for width, mark in ((60, ""), (72, "// "), (80, " * "), (66, "# "), (40, "-- "), (20, "")):
             before, after = ([f"{mark}{' '.join(rng.choices([f'tok{i}' for i in range(200)], k=9))}" for _ in range(4)] for _ in range(2))
-            own = textwrap.wrap(notice, width, initial_indent=mark, subsequent_indent=mark, break_on_hyphens=False)
+            own = textwrap.wrap(notice, width, initial_indent=mark, subsequent_indent=mark, break_on_hyphens=False, break_long_words=False)
             expected.add((len(texts), 4, family))
             texts.append("\n".join([*before, *own, *after]))
     filler = [" ".join(rng.choices([f"tok{i}" for i in range(200)], k=30)) for _ in range(300)]
@@ -516,6 +516,22 @@ def test_wrapped_licenses(spark):
     assert {(r.doc_id, r.paragraph_no, r.family) for r in got} == expected and len(got) == len(expected)
 
 
+def test_notices_in_long_lines(spark):
+    rng = random.Random(6)
+    filler = lambda n: " ".join(rng.choices([f"tok{i}" for i in range(200)], k=n))
+    texts, expected = [], []
+    for around in (15, 100, 1000):
+        for family, notice in licenses.NOTICES:
+            expected.append((len(texts), family))
+            texts.append(f"{filler(around)} {notice} {filler(around)}")
+    for (one, first), (two, second) in zip(licenses.NOTICES, licenses.NOTICES[::-1], strict=True):
+        expected += [(len(texts), one), (len(texts), two)]
+        texts.append(f"{filler(40)} {first} {filler(30)} {second} {filler(40)}")
+    texts += [f"{filler(400)} he was licensed to practise {filler(300)} the public domain of the town {filler(50)}", *[filler(30) for _ in range(200)]]
+    got = licenses.scan_licenses(docs_of(spark, texts)).where("confirmed").collect()
+    assert Counter((r.doc_id, r.family) for r in got) == Counter(expected)
+
+
 def test_grams(spark):
     row = spark.range(1).select(licenses.grams(F.lit("The MIT License")).alias("g"), licenses.grams(F.lit("")).alias("e"), licenses.grams(F.lit("one")).alias("o")).first()
     assert (row.g, row.e, row.o) == (["the", "mit", "license", "the mit", "mit license"], [], ["one"])
