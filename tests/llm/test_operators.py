@@ -532,6 +532,14 @@ def test_notices_in_long_lines(spark):
     assert Counter((r.doc_id, r.family) for r in got) == Counter(expected)
 
 
+def test_a_sample_of_very_many_rows_is_never_empty_by_rounding(spark):
+    hashes = spark.range(4000).select(F.xxhash64("id").alias("h"))
+    assert hashes.where(store.sampled(F.col("h"), 10, 10)).count() == hashes.where(store.sampled(F.col("h"), 10, 0)).count() == 4000
+    assert 300 < hashes.where(store.sampled(F.col("h"), 100, 1000)).count() < 500
+    tiny = spark.sql("SELECT explode(array(0L, 1L, 1000000L, -9223372036854775808L)) AS h")
+    assert tiny.where(store.sampled(F.col("h"), 30_000, 10**12)).count() == 4
+
+
 def test_grams(spark):
     row = spark.range(1).select(licenses.grams(F.lit("The MIT License")).alias("g"), licenses.grams(F.lit("")).alias("e"), licenses.grams(F.lit("one")).alias("o")).first()
     assert (row.g, row.e, row.o) == (["the", "mit", "license", "the mit", "mit license"], [], ["one"])
