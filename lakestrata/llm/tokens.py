@@ -108,10 +108,9 @@ class _Store:
         where = np.column_stack([self.size + keys.first, keys.sizes, first, lengths]).astype(np.uint32)
         self.size, self.full = self.size + len(keys.data), self.full + len(values)
         new = np.argsort(keys.hashes, kind="stable")
-        every = np.concatenate([self.hashes, keys.hashes[new]])
-        # two ordered runs: a stable sort merges them
-        order = np.argsort(every, kind="stable")
-        self.hashes, self.where = every[order], np.concatenate([self.where, where[new]])[order]
+        # put in at their places: sorting all again would hold every entry several times
+        at = np.searchsorted(self.hashes, keys.hashes[new], "right")
+        self.hashes, self.where = np.insert(self.hashes, at, keys.hashes[new]), np.insert(self.where, at, where[new], axis=0)
         return first
 
     def find(self, keys: _Keys) -> np.ndarray:
@@ -139,7 +138,7 @@ def _runs(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class _Chunks:
     """The token ids of each chunk of text, or their number.
 
-    The chunks of some MB of text are told apart by Arrow, so a chunk is looked up once for all its places, and only
+    The chunks of a MB of text are told apart by Arrow, so a chunk is looked up once for all its places, and only
     those never met before go to the library. Past ``limit`` entries a new store begins; the one before
     stays readable, what is met again is taken over from it, and all else goes.
     """
@@ -194,12 +193,12 @@ class _Chunks:
             yield self.whole(texts[i]) if text is None else values[ends[i] : ends[i + 1]]
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The values of all chunks of each text; some MB are worked on at a time."""
+        """The values of all chunks of each text; a MB is worked on at a time, which takes some twenty times as much memory."""
         part, held = [], 0
         for text in texts:
             part.append(text)
             held += len(text)
-            if held > 4 << 20:
+            if held > 1 << 20:
                 yield from self._some(part)
                 part, held = [], 0
         if part:

@@ -7,12 +7,14 @@ import itertools
 import random
 import textwrap
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -59,6 +61,31 @@ def test_small_token_tables_give_the_same_counts(library):
         assert [int(c.sum()) for c in counts.of(part)] == [len(library.encode(t, add_special_tokens=False).ids) for t in part]
 
 
+def test_ids_of_new_words_take_little_memory(library):
+    letters = random.Random(5)
+    texts = [" ".join("".join(letters.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(400)) for _ in range(1200)]
+    table = tokens.Ids(VOCABULARY, 600_000)
+    tracemalloc.start()
+    try:
+        found = [own[:20].copy() for own in table.of(texts)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 130e6
+    for text, own in zip(texts[::100], found[::100], strict=True):
+        assert library.encode(text, add_special_tokens=False).ids[:20] == own.tolist()
+
+
+def test_store_finds_what_was_put_in_any_order():
+    entries, held = random.Random(3).sample(range(10**6), 900), tokens._Store()
+    for part in (entries[:1], entries[1:500], entries[500:]):
+        words = [f"w{e}" for e in part]
+        held.put(tokens._Keys.of(pa.array(words)), np.array(part, np.uint32), np.ones(len(part), np.int64))
+    assert (np.diff(held.hashes.astype(object)) >= 0).all()
+    at = held.find(tokens._Keys.of(pa.array([f"w{e}" for e in entries] + ["w"])))
+    assert at[-1] == -1 and held.values[held.where[at[:-1], 2]].tolist() == entries
+
+
 def test_packing_covers_every_id_once(spark, library):
     rng = random.Random(5)
     texts = TEXTS + [" ".join(rng.choices(["alpha", "beta", "x1"], k=rng.randrange(1, 400))) for _ in range(120)]
